@@ -12,6 +12,7 @@ from tidemark.functions.text import quote_name
 from tidemark.functions.timestamps import dateadd
 from tidemark.operators import joins
 from tidemark.operators.ordered import neighbour
+from tidemark.operators.reshape import repeat_rows
 
 
 def _where(df: DataFrame, where: str | None) -> DataFrame:
@@ -159,36 +160,54 @@ def recency(df: DataFrame, field: str, datepart: str, interval: int, as_of: Colu
 
 def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: str | None = None,
                       slices: int | None = None) -> DataFrame:
-    """Rows that do not follow their predecessor by exactly the interval. Works in range slices, so the
-    column may be of any length."""
-    only = df.select(_col(column).alias("value"))
-    pairs = neighbour(only, [F.col("value").asc_nulls_last()], {"value": "previous_value"}, -1, slices=slices)
-    previous = F.col("previous_value")
-    expected = dateadd(datepart, interval, previous.cast("timestamp")) if datepart else previous + interval
-    actual = F.col("value").cast("timestamp") if datepart else F.col("value")
-    return pairs.where(~(actual == expected)).select("value", "previous_value")
+    """Rows that do not follow their predecessor by exactly the interval.
+
+    Equal values are counted first and only distinct ones are put in order, in range slices; the copies of a
+    value follow each other, so each copy but the first has the value itself as predecessor.
+    """
+    def follows(value: Column, previous: Column) -> Column:
+        if datepart:
+            return value.cast("timestamp") == dateadd(datepart, interval, previous.cast("timestamp"))
+        return value == previous + interval
+
+    value, previous = F.col("value"), F.col("previous_value")
+    distinct = df.groupBy(_col(column).alias("value")).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = neighbour(distinct, [value.asc_nulls_last()], {"value": "previous_value"}, -1, slices=slices)
+    firsts = pairs.where(~follows(value, previous)).select("value", "previous_value")
+    copies = distinct.where(~follows(value, value)).select("value", value.alias("previous_value"), "_n")
+    return firsts.unionAll(repeat_rows(copies, F.col("_n") - 1).drop("_n"))
 
 
 def mutually_exclusive_ranges(df: DataFrame, lower: str, upper: str, partition_by: str | None = None,
                               gaps: str = "allowed", zero_length_range_allowed: bool = False,
                               slices: int | None = None) -> DataFrame:
-    """Ranges that are empty, lack a bound, or touch the next range in a way ``gaps`` does not allow."""
+    """Ranges that are empty, lack a bound, or touch the next range in a way ``gaps`` does not allow.
+
+    Equal ranges are counted first, so only distinct ones are put in order.
+    """
     touches = {"allowed": lambda u, n: u <= n, "not_allowed": lambda u, n: u == n, "required": lambda u, n: u < n}
     if gaps not in touches:
         raise ValueError(f"gaps must be one of {sorted(touches)}")
     keys = [partition_by] if partition_by else []
-    ranges = df.select(*[_col(k) for k in keys], _col(lower).alias("lower_bound"), _col(upper).alias("upper_bound"))
-    order = [F.col("lower_bound").asc_nulls_last(), F.col("upper_bound").asc_nulls_last()]
-    pairs = neighbour(ranges, order, {"lower_bound": "next_lower_bound"}, 1, keys, slices)
     low, high, following = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
+    ranges = df.groupBy(*[_col(k) for k in keys], _col(lower).alias("lower_bound"),
+                        _col(upper).alias("upper_bound")).agg(F.count(F.lit(1)).alias("_n"))
+    order = [low.asc_nulls_last(), high.asc_nulls_last()]
+    lasts = neighbour(ranges, order, {"lower_bound": "next_lower_bound"}, 1, keys, slices).drop("_has_neighbour")
+    # copies of a range follow each other: all but the last have the range itself as successor
+    copies = ranges.withColumn("next_lower_bound", low).withColumn("_n", F.col("_n") - 1)
     ordered = low <= high if zero_length_range_allowed else low < high
-    last = following.isNull()
-    checked = pairs.withColumns({
-        "is_last_record": last,
-        "lower_before_upper": F.coalesce(ordered, F.lit(False)),
-        "upper_before_next": F.coalesce(touches[gaps](high, following), last),
-    }).drop("_has_neighbour")
-    return checked.where(~(F.col("lower_before_upper") & F.col("upper_before_next")))
+
+    def failing(pairs: DataFrame) -> DataFrame:
+        checked = pairs.withColumns({
+            "is_last_record": following.isNull(),
+            "lower_before_upper": F.coalesce(ordered, F.lit(False)),
+            "upper_before_next": F.coalesce(touches[gaps](high, following), following.isNull()),
+        })
+        return checked.where(~(F.col("lower_before_upper") & F.col("upper_before_next")))
+
+    repeated = repeat_rows(failing(copies), F.col("_n"))
+    return failing(lasts.withColumn("_n", F.lit(1).cast("bigint"))).unionByName(repeated).drop("_n")
 
 
 def assert_equal(df: DataFrame, actual: str, expected: str) -> DataFrame:

@@ -64,15 +64,15 @@ def available_at(orders: DataFrame, products: DataFrame, order_key: str = "order
                  order_ts: str = "order_date", product_ts: str = "created_at") -> DataFrame:
     """Per order, how many products existed when it was placed (all of them if none did).
 
-    Products and orders are merged on one time line and a running product count is taken, so no order
-    ever meets a product in a join.
+    Products are counted per timestamp and merged with the orders on one time line, where a running count is
+    taken, so no order ever meets a product in a join.
     """
-    lines = products.select(F.col(product_ts).alias("at"), F.lit(0).alias("kind"),
-                            F.lit(None).cast("bigint").alias(order_key))
-    asks = orders.select(F.col(order_ts).alias("at"), F.lit(1).alias("kind"), F.col(order_key).cast("bigint"))
-    merged = lines.unionByName(asks)
+    arrivals = products.groupBy(F.col(product_ts).alias("at")).agg(F.count(F.lit(1)).alias("n")).select(
+        "at", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias(order_key), "n")
+    asks = orders.select(F.col(order_ts).alias("at"), F.lit(1).alias("kind"), F.col(order_key).cast("bigint"),
+                         F.lit(0).cast("bigint").alias("n"))
     order = [F.col("at").asc_nulls_last(), F.col("kind").asc(), F.col(order_key).asc()]
-    counted = running_sum(merged, order, (1 - F.col("kind")).cast("bigint"), "available")
+    counted = running_sum(arrivals.unionByName(asks), order, F.col("n"), "available")
     total = products.agg(F.count(F.lit(1))).scalar()
     return counted.where("kind = 1").select(
         order_key, F.when(F.col("available") > 0, F.col("available")).otherwise(total).alias("available"))

@@ -106,6 +106,21 @@ def series_per_row(df: DataFrame, upper: Column, name: str = "generated_number")
     return df.where(upper >= 1).withColumn(name, F.explode(F.sequence(F.lit(1).cast("bigint"), upper.cast("bigint"))))
 
 
+REPEAT_CHUNK = 100_000
+
+
+def repeat_rows(df: DataFrame, times: Column, chunk: int = REPEAT_CHUNK) -> DataFrame:
+    """Each row repeated ``times`` times. A large count is cut into chunks that are spread over the tasks, so
+    one row never fills a task by itself."""
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("_times") / chunk) - 1)
+    here = F.least(F.lit(chunk).cast("bigint"), F.col("_times") - F.col("_chunk") * chunk)
+    spread = (df.withColumn("_times", times.cast("bigint")).where("_times > 0")
+              .withColumn("_chunk", F.explode(chunks)).withColumn("_here", here)
+              .repartition(F.xxhash64(*[F.col(quote_name(c)) for c in df.columns], "_chunk")))
+    return (spread.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_here"))))
+            .select(*[F.col(quote_name(c)) for c in df.columns]))
+
+
 # The date parts a spine may step by.
 SPINE_PARTS = ["second", "minute", "hour", "day", "week", "month", "quarter", "year"]
 

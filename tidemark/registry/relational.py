@@ -360,15 +360,15 @@ def _(lake):
 
 # -- sorts, pages and set operations -----------------------------------------------------------------
 
-@query("so1_page_rows", "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 1000 OFFSET 2000")
+@query("so1_page_rows", "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 1000 OFFSET 500")
 def _(lake):
-    return paging.page(lake.table("orders").select("o_orderkey", "o_orderdate"), [c("o_orderdate").asc(), c("o_orderkey").asc()], 1000, 2000)
+    return paging.page(lake.table("orders").select("o_orderkey", "o_orderdate"), [c("o_orderdate").asc(), c("o_orderkey").asc()], 1000, 500)
 
 
-@query("so1_page_info", """SELECT count(*) AS total_count, CAST(greatest(0, least(1000, count(*) - 2000)) AS BIGINT) AS count, 1000 AS "limit", 2000 AS "offset",
-count(*) > 3000 AS has_more, CASE WHEN count(*) > 3000 THEN 3000 END AS next_offset FROM orders""")
+@query("so1_page_info", """SELECT count(*) AS total_count, CAST(greatest(0, least(1000, count(*) - 500)) AS BIGINT) AS count, 1000 AS "limit", 500 AS "offset",
+count(*) > 1500 AS has_more, CASE WHEN count(*) > 1500 THEN 1500 END AS next_offset FROM orders""")
 def _(lake):
-    return paging.page_info(lake.table("orders"), 1000, 2000)
+    return paging.page_info(lake.table("orders"), 1000, 500)
 
 
 @query("so1_page_after_key", """SELECT o_orderkey, o_orderdate FROM orders WHERE (o_orderdate, o_orderkey) > (TIMESTAMP '1998-01-01', 5)

@@ -38,7 +38,7 @@ def scratch_root(spark: SparkSession) -> str:
 
     Only a local session, where driver and executors share one disk, may fall back to a temporary folder.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
