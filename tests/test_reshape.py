@@ -34,11 +34,11 @@ def test_unpivot_and_booleans(spark):
 
 
 def test_union_relations_superset(spark):
-    a = spark.createDataFrame([(1, "drew", "pi")], "id int, name string, favorite_number string")
-    b = spark.createDataFrame([(1, "green", 7)], "id int, favorite_color string, favorite_number int")
+    a = spark.createDataFrame([(1, "ada", "four")], "id int, name string, lucky string")
+    b = spark.createDataFrame([(1, "teal", 7)], "id int, shade string, lucky int")
     out = reshape.union_relations({"a": a, "b": b})
-    assert out.columns == ["source_relation", "id", "name", "favorite_number", "favorite_color"]
-    assert collect(out) == [("a", 1, "drew", "pi", None), ("b", 1, None, "7", "green")]
+    assert out.columns == ["source_relation", "id", "name", "lucky", "shade"]
+    assert collect(out) == [("a", 1, "ada", "four", None), ("b", 1, None, "7", "teal")]
     assert reshape.union_relations({"a": a, "b": b}, include=["id"], source_column_name=None).columns == ["id"]
     assert reshape.union_relations({"a": a, "b": b}, exclude=["id"], where="id = 2").isEmpty()
     assert dict(reshape.union_relations({"a": a}, {"id": "string"}).dtypes)["id"] == "string"

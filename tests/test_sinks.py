@@ -59,6 +59,14 @@ def test_upsert_moves_a_key_and_clears_the_emptied_partition(spark, scratch):
     assert files.subfolders(spark, scratch) == ["day=2024-01-02"]
 
 
+def test_upsert_with_two_partition_columns_and_odd_values(spark, scratch):
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, v string, a string, b int")
+    incremental.upsert(rows((1, "x", "p:q/r", 1), (2, "x", "z", None), (3, "x", "z", 2)), scratch, ["k"], ["a", "b"])
+    incremental.upsert(rows((1, "y", "z", 2), (2, "y", "z", 2)), scratch, ["k"], ["a", "b"])
+    assert collect(spark.read.parquet(scratch).select("k", "v")) == [(1, "y"), (2, "y"), (3, "x")]
+    assert files.subfolders(spark, f"{scratch}/a=z") == ["b=2"] and files.subfolders(spark, f"{scratch}/a=p%3Aq%2Fr") == []
+
+
 def test_columns_follow_the_new_rows(spark, scratch):
     incremental.upsert(spark.createDataFrame([(1, "x", 5)], "k int, gone string, n int"), scratch, ["k"])
     incremental.upsert(spark.createDataFrame([(2, 7, True)], "k int, n int, added boolean"), scratch, ["k"])
@@ -89,7 +97,7 @@ def test_files_are_bounded(spark, scratch):
 
 
 def test_insert_by_period_monthly(spark, scratch):
-    dates = ["2017-12-02", "2018-01-02", "2018-02-02", "2018-03-02", "2018-04-02", "2018-05-02", "2018-06-02", "2018-07-02"]
+    dates = ["2017-12-09", "2018-01-09", "2018-02-09", "2018-03-09", "2018-04-09", "2018-05-09", "2018-06-09", "2018-07-09"]
     df = spark.createDataFrame([(i + 1, dt.datetime.fromisoformat(d)) for i, d in enumerate(dates)], "id int, created_at timestamp")
     build = lambda inside: df.where(inside)
     start, stop = dt.datetime(2018, 1, 1), dt.datetime(2018, 6, 1)

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import checks, joins
 from tidemark.operators.dedupe import latest_per_key
-from tidemark.plans import silver
+from tidemark.plans import refresh, silver
 from tidemark.registry.core import as_of, query
 from tidemark.registry.layers import staging
-from tidemark.session import scratch_path, stage
-from tidemark.sinks import control, incremental, landing
+from tidemark.session import scratch_path
+from tidemark.sinks import control, incremental, ingest, landing
 from tidemark.sources import extract
 from tidemark.streaming import tables as streams
 
@@ -313,6 +313,44 @@ def _(lake):
     return control.load_window(no_run, newest, F.lit("2001-08-10").cast("date"), F.lit("1995-01-01").cast("date"))
 
 
+# -- whole runs ---------------------------------------------------------------------------------------
+
+def _land(lake, root: str, delivered, load_type: str) -> None:
+    """Lands the commerce tables with the audit columns the projections already carry."""
+    for entity in refresh.ENTITIES:
+        rows = lake.bronze(entity).where(delivered).withColumn("load_type", F.lit(load_type))
+        incremental.append_partitions(rows, f"{root}/{entity}", ["ingestion_date", "load_type"])
+
+
+@query("run1_refresh_in_two_batches", """SELECT customer_id, email, last_order_date, total_orders, CAST(total_revenue AS DOUBLE) AS total_revenue,
+preferred_payment_method, preferred_shipping_carrier FROM customer_360""")
+def _(lake):
+    bronze, warehouse = scratch_path(lake.spark, "bronze"), scratch_path(lake.spark, "warehouse")
+    early = c("_ingestion_ts") <= _ts(_CUT)
+    for delivered, load_type in ((early, "full"), (~early, "incremental")):
+        _land(lake, bronze, delivered, load_type)
+        tables = refresh.refresh(lake.spark, bronze, warehouse, as_of(), grain="year")
+    return tables["customer_360"].select("customer_id", "email", "last_order_date", "total_orders", "total_revenue",
+                                         "preferred_payment_method", "preferred_shipping_carrier")
+
+
+@query("run2_ingest_entities", """SELECT 'orders' AS entity, 'full' AS load_type, count(*) AS n_rows FROM bronze_orders
+UNION ALL SELECT 'orders', 'incremental', count(*) FROM bronze_orders WHERE updated_at >= TIMESTAMP '2001-01-01'
+UNION ALL SELECT 'customers', 'full', count(*) FROM bronze_customers
+UNION ALL SELECT 'customers', 'incremental', count(*) FROM bronze_customers WHERE updated_at >= TIMESTAMP '2001-01-01'""")
+def _(lake):
+    bronze, checkpoints = scratch_path(lake.spark, "bronze"), scratch_path(lake.spark, "checkpoints")
+
+    def reader(entity):
+        return lambda since: extract.extract(lake.bronze(entity), entity, F.lit(since))
+    readers = {e: reader(e) for e in ("customers", "orders")}
+    for started in (datetime.datetime(2001, 1, 1), datetime.datetime(2001, 8, 2)):
+        ingest.ingest(lake.spark, readers, bronze, checkpoints, started)
+    landed = [extract.read_landed(lake.spark, bronze, e).groupBy("load_type").agg(F.count(F.lit(1)).alias("n_rows"))
+              .select(F.lit(e).alias("entity"), "load_type", "n_rows") for e in readers]
+    return landed[0].unionAll(landed[1])
+
+
 # -- streams -----------------------------------------------------------------------------------------
 
 def _stream(lake, name: str):
@@ -350,6 +388,3 @@ def _(lake):
     for _ in range(2):  # the second pass finds no new files
         streams.available_now(orders, checkpoint, write).awaitTermination()
     return lake.spark.read.parquet(path).select("o_orderkey", "o_orderstatus")
-
-
-__all__ = ["as_of", "stage"]

@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files in a folder."""
+    fs, p = _resolve(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _resolve(spark, path)
     fs.delete(p, True)

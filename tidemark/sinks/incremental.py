@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +22,14 @@ from tidemark.sinks import files
 ROWS_PER_FILE = 100_000  # fixed value: largest file of an appended partition
 
 
-def read_target(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path`` with all columns its files hold, or None before the first run."""
-    return spark.read.option("mergeSchema", "true").parquet(path) if files.exists(spark, path) else None
+def read_target(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The table at ``path``, or None before the first run.
+
+    With a schema no file footer is opened to find one; columns a file lacks are NULL, others are ignored.
+    """
+    if not files.exists(spark, path):
+        return None
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -70,40 +78,57 @@ def align_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
                        for f in schema.fields])
 
 
+def _inside(values: list[tuple], partition_by: Sequence[str]) -> Column:
+    """Filter on partition folders. Plain conditions on the partition columns prune the scan to them."""
+    inside = F.lit(False)
+    if len(partition_by) == 1:
+        given = [v[0] for v in values if v[0] is not None]
+        inside = F.col(partition_by[0]).isin(given) if given else inside
+        return inside | F.col(partition_by[0]).isNull() if len(given) < len(values) else inside
+    for v in values:
+        inside = inside | reduce(and_, [F.col(p).eqNullSafe(F.lit(x)) for p, x in zip(partition_by, v)])
+    return inside
+
+
 def upsert(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
     """One row per key: new rows win, the others stay, and the columns follow the new rows.
 
-    Only partitions that receive rows or lose an old version are rewritten. ``df`` must hold one row per key.
+    Only partitions that receive rows or lose an old version are rewritten; of the others just the keys are
+    read. ``df`` must hold one row per key.
     """
     spark = df.sparkSession
-    new, old = stage(df, "upsert-new"), read_target(spark, path)
+    new = stage(df, "upsert-new")
+    old = read_target(spark, path, new.schema)
     if old is None:
         insert_overwrite(new, path, partition_by)
         return
-    old = align_columns(old, new.schema)
     fresh = new.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     same = [old[k].eqNullSafe(fresh[f"_k_{k}"]) for k in keys]
     if not partition_by:
         stage(old.join(fresh, same, "left_anti").unionByName(new), "upsert").write.mode("overwrite").parquet(path)
         return
     parts = [F.col(p) for p in partition_by]
-    lost = old.join(fresh, same, "left_semi").select(*parts)
-    touched = lost.unionAll(new.select(*parts)).distinct().select(*[F.col(p).alias(f"_p_{p}") for p in partition_by])
-    touched = stage(touched, "upsert-parts")
-    inside = [old[p].eqNullSafe(touched[f"_p_{p}"]) for p in partition_by]
-    kept = old.join(touched, inside, "left_semi").join(fresh, same, "left_anti")
+
+    def folders(rows: DataFrame) -> list[tuple]:
+        return [tuple(r) for r in rows.distinct().collect()]  # at most one row per partition folder
+
+    touched = folders(old.join(fresh, same, "left_semi").select(*parts).unionAll(new.select(*parts)))
+    if not touched:
+        return
+    kept = old.where(_inside(touched, partition_by)).join(fresh, same, "left_anti")
     result = stage(kept.unionByName(new), "upsert")
     (_clustered(result, partition_by).write.mode("overwrite").partitionBy(*partition_by)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
     # a dynamic overwrite never clears a partition that lost all its rows
-    filled = result.select(*[F.col(p).alias(f"_p_{p}") for p in partition_by]).distinct()
-    emptied = touched.join(filled, [touched[f"_p_{p}"].eqNullSafe(filled[f"_p_{p}"]) for p in partition_by], "left_anti")
-    for row in emptied.toLocalIterator():  # partition names only
-        files.delete(spark, path + "".join(f"/{p}={_folder_value(row[f'_p_{p}'])}" for p in partition_by))
+    for emptied in set(touched) - set(folders(result.select(*parts))):
+        files.delete(spark, path + "".join(f"/{p}={_folder_value(v)}" for p, v in zip(partition_by, emptied)))
 
 
 def _folder_value(value) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+    """A partition value as it appears in a folder name, where special characters are percent-encoded."""
+    if value is None:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return re.sub(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", str(value))
 
 
 def merge_by_key(existing: DataFrame, new: DataFrame, key: str, order_by: Sequence[Column] = ()) -> DataFrame:

@@ -11,258 +11,213 @@ re-deliver some rows in a second batch, so that cleaning and deduplication have
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tidemark.sources.tables import StarTables
 
-# The countries served, the carriers and the payment methods.
+# The countries served, the carriers, the payment methods and the card brands.
 COUNTRIES = ["United States", "Canada", "United Kingdom", "Germany", "France",
              "Italy", "Spain", "Japan", "Netherlands", "Australia"]
 CARRIERS = ["UPS", "FedEx", "USPS", "DHL"]
 METHODS = ["Credit_Card", "PayPal", "APPLE_PAY", "google_pay"]
 BRANDS = ["Visa", "MasterCard", "AMEX", "Discover"]
 
-SPACE_FORMAT = "yyyy-MM-dd HH:mm:ss"
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+SPACED = "yyyy-MM-dd HH:mm:ss"
+ISO = "yyyy-MM-dd''T''HH:mm:ss"
 
-MONEY = "decimal(12,2)"
 
-
-def _pick(values: list[str], index: Column) -> Column:
+def _pick(values: list[str], index: str) -> str:
     """The value at ``index`` modulo the list length."""
-    return F.element_at(F.array(*map(F.lit, values)), (index % len(values) + 1).cast("int"))
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), cast({index} % {len(values)} + 1 as int))"
+
 
+def _days(ts: str, n: str | int) -> str:
+    return f"timestampadd(DAY, {n}, {ts})"
 
-def _days(ts: Column, n: Column | int) -> Column:
-    return F.timestamp_add("DAY", n if isinstance(n, Column) else F.lit(n), ts)
 
+def _batch_ts(ts: str, version: str) -> str:
+    """Yearly batches: rows of a year land together on the first days of the next one."""
+    return f"make_timestamp(year({ts}) + 1, 1, {version}, 0, 0, 0)"
 
-def _seconds(ts: Column, n: Column) -> Column:
-    return F.timestamp_add("SECOND", n, ts)
 
+def _cents(c: str) -> str:
+    return f"cast(cast({c} as decimal(12,2)) * 100 as bigint)"
 
-def _batch_ts(ts: Column, version: Column) -> Column:
-    """Yearly batches: rows of a year land together on the first days of the next one."""
-    return F.make_timestamp(F.year(ts) + 1, F.lit(1), version.cast("int"), F.lit(0), F.lit(0), F.lit(0))
 
+def _share(money: str, rate: str) -> str:
+    return f"cast(round({money} * cast('{rate}' as decimal(3,2)), 2) as decimal(12,2))"
 
-def _cents(c: Column) -> Column:
-    return (c.cast(MONEY) * 100).cast("bigint")
 
+def _audit(system: str, ts: str, load_type: str, hashed: str) -> dict[str, str]:
+    return {"_ingestion_ts": ts, "_source_system": f"'{system}'", "_record_hash": f"md5(concat_ws('|', {hashed}))",
+            "load_type": load_type, "ingestion_date": f"to_date({ts})"}
 
-def _audit(system: str, ts: Column, load_type: Column, *hashed: Column) -> dict[str, Column]:
-    return {
-        "_ingestion_ts": ts,
-        "_source_system": F.lit(system),
-        "_record_hash": F.md5(F.concat_ws("|", *[h.cast("string") for h in hashed])),
-        "load_type": load_type,
-        "ingestion_date": F.to_date(ts),
-    }
 
+LOAD_TYPE = "if(v = 1, 'full', 'incremental')"
 
-def _load_type(version: Column) -> Column:
-    return F.when(version == 1, "full").otherwise("incremental")
 
+def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{expr} as `{name}`" for name, expr in columns.items()])
 
-def _select(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return df.select(*[c.alias(name) for name, c in columns.items()])
+
+def _versions(df: DataFrame, twice: str) -> DataFrame:
+    """Rows delivered twice carry ``v`` 1 and 2 and ``versions`` 2."""
+    return (df.selectExpr("*", f"if({twice}, 2, 1) as versions")
+            .selectExpr("*", "explode(sequence(1, versions)) as v"))
 
 
 def _people(t: StarTables) -> DataFrame:
     """Customers and suppliers under one id space: even ids for customers, odd ids for suppliers."""
-    nation = t.read("nation").select("n_nationkey", "n_name")
-    buyers = t.read("customer").select(
-        (F.col("c_custkey") * 2).alias("id"), F.col("c_custkey").alias("seq"), F.col("c_name").alias("name"),
-        F.col("c_nationkey").alias("nationkey"), F.col("c_acctbal").alias("balance"),
-        F.col("c_mktsegment").alias("seg"))
-    partners = t.read("supplier").select(
-        (F.col("s_suppkey") * 2 + 1).alias("id"), F.col("s_suppkey").alias("seq"), F.col("s_name").alias("name"),
-        F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("balance"),
-        F.lit("PARTNER").alias("seg"))
+    buyers = t.read("customer").selectExpr(
+        "c_custkey * 2 as id", "c_custkey as seq", "c_name as name", "c_nationkey as nationkey", "c_acctbal as balance",
+        "c_mktsegment as seg")
+    partners = t.read("supplier").selectExpr(
+        "s_suppkey * 2 + 1 as id", "s_suppkey as seq", "s_name as name", "s_nationkey as nationkey", "s_acctbal as balance",
+        "'PARTNER' as seg")
     people = buyers.unionByName(partners)
+    nation = t.read("nation").select("n_nationkey", "n_name")
     return people.join(nation, people["nationkey"] == nation["n_nationkey"], "left")
 
 
 def customers(t: StarTables) -> DataFrame:
-    seg, name, seq, nat = F.col("seg"), F.col("name"), F.col("seq"), F.col("nationkey")
-    versions = F.when(seg == "AUTOMOBILE", 2).otherwise(1)
-    df = _people(t).withColumn("versions", versions).withColumn("v", F.explode(F.sequence(F.lit(1), F.col("versions"))))
-    v = F.col("v")
-    mailbox = F.replace(name, F.lit("#"), F.lit("."))
-    email = (F.when(seg == "HOUSEHOLD", F.concat(F.lit("  "), F.upper(mailbox), F.lit("@Example.COM ")))
-             .when(seg == "MACHINERY", F.lit(None).cast("string"))
-             .when(seg == "FURNITURE", name)
-             .otherwise(F.concat(F.lower(mailbox), F.lit("@example.org"))))
-    phone = (F.when(seg == "MACHINERY", F.lit("  "))
-             .when(F.col("balance") < 1000, F.lit(None).cast("string"))
-             .otherwise(F.concat(F.lit("+1-"), seq.cast("string"))))
-    signup = _days(F.lit("1994-06-01 00:00:00").cast("timestamp"), (seq * 13 % 2400).cast("int"))
-    country = F.when(seg == "PARTNER", F.col("n_name")).otherwise(_pick(COUNTRIES, nat))
-    segment = (F.when(v < F.col("versions"), "New")
-               .when(seg.isin("AUTOMOBILE", "BUILDING"), "VIP")
-               .when(seg.isin("FURNITURE", "HOUSEHOLD"), "Regular")
-               .otherwise("New"))
-    gender = F.when(nat % 4 == 0, "M").when(nat % 4 == 1, "F").when(nat % 4 == 2, "Other")
-    born = F.when(seg != "BUILDING", F.date_add(F.lit("1950-01-01").cast("date"), (seq * 37 % 25000).cast("int")))
+    df = _versions(_people(t), "seg = 'AUTOMOBILE'").selectExpr(
+        "*", "timestampadd(DAY, cast(seq * 13 % 2400 as int), timestamp '1994-06-01') as signup",
+        "replace(name, '#', '.') as mailbox")
     return _select(df, {
-        "customer_id": F.col("id"),
-        "first_name": F.split_part(name, F.lit("#"), F.lit(1)),
-        "last_name": F.split_part(name, F.lit("#"), F.lit(2)),
-        "email": email, "phone": phone, "country": country,
-        "city": F.concat(F.lit("City "), nat.cast("string")),
-        "state": F.concat(F.lit("S"), (nat % 5).cast("string")),
-        "postal_code": F.lpad((seq % 100000).cast("string"), 5, "0"),
-        "address": F.concat(name, F.lit(" Street")),
-        "signup_date": signup, "created_at": signup,
-        "updated_at": _days(signup, nat + v), "customer_segment": segment,
-        "date_of_birth": born, "gender": gender,
-        **_audit("rds", _batch_ts(signup, v), _load_type(v), F.col("id"), seg, v),
+        "customer_id": "id",
+        "first_name": "split_part(name, '#', 1)",
+        "last_name": "split_part(name, '#', 2)",
+        "email": """case seg when 'HOUSEHOLD' then concat('  ', upper(mailbox), '@Example.COM ') when 'MACHINERY' then null
+                    when 'FURNITURE' then name else concat(lower(mailbox), '@example.org') end""",
+        "phone": "case when seg = 'MACHINERY' then '  ' when balance < 1000 then null else concat('+1-', seq) end",
+        "country": f"if(seg = 'PARTNER', n_name, {_pick(COUNTRIES, 'nationkey')})",
+        "city": "concat('City ', nationkey)",
+        "state": "concat('S', nationkey % 5)",
+        "postal_code": "lpad(cast(seq % 100000 as string), 5, '0')",
+        "address": "concat(name, ' Street')",
+        "signup_date": "signup", "created_at": "signup",
+        "updated_at": _days("signup", "nationkey + v"),
+        "customer_segment": """case when v < versions then 'New' when seg in ('AUTOMOBILE', 'BUILDING') then 'VIP'
+                               when seg in ('FURNITURE', 'HOUSEHOLD') then 'Regular' else 'New' end""",
+        "date_of_birth": "if(seg <> 'BUILDING', date_add(date '1950-01-01', cast(seq * 37 % 25000 as int)), null)",
+        "gender": "case nationkey % 4 when 0 then 'M' when 1 then 'F' when 2 then 'Other' end",
+        **_audit("rds", _batch_ts("signup", "v"), LOAD_TYPE, "id, seg, v"),
     })
 
 
 def orders(t: StarTables) -> DataFrame:
-    st, pri, key = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_orderkey")
-    df = (t.read("orders")
-          .withColumn("versions", F.when(st == "P", 2).otherwise(1))
-          .withColumn("v", F.explode(F.sequence(F.lit(1), F.col("versions"))))
-          .withColumn("ordered", _seconds(F.col("o_orderdate"), (key % 86400).cast("int")))
-          .withColumn("total", F.col("o_totalprice").cast(MONEY)))
-    v, ordered, total = F.col("v"), F.col("ordered"), F.col("total")
-    status = (F.when(v < F.col("versions"), "PENDING")
-              .when(st == "F", "DELIVERED")
-              .when(st == "P", "Shipped")
-              .when(pri == "1-URGENT", "Processing")
-              .when(pri == "2-HIGH", "shipped")
-              .when(pri == "3-MEDIUM", "Cancelled")
-              .when(pri == "4-NOT SPECIFIED", "refunded")
-              .otherwise("pending"))
-    paid = (F.when(v < F.col("versions"), "Pending")
-            .when((st == "F") & (pri == "4-NOT SPECIFIED"), "Refunded")
-            .when(st.isin("F", "P"), "COMPLETED")
-            .when(pri == "3-MEDIUM", "failed")
-            .when(pri == "5-LOW", "pending")
-            .otherwise("success"))
-    shipped = F.lower(status).isin("shipped", "delivered", "refunded")
-    has_payment = F.lower(paid) != "pending"
-    signed = F.when((st == "O") & (pri == "4-NOT SPECIFIED") & (total < 50000), -total).otherwise(total)
-    parent = F.when(total >= 490000, -1 - F.col("o_custkey")).otherwise(F.col("o_custkey") * 2)
-    ident = (key * 10 + 1).cast("decimal(38,0)")
+    df = _versions(t.read("orders"), "o_orderstatus = 'P'").selectExpr(
+        "*", "timestampadd(SECOND, cast(o_orderkey % 86400 as int), o_orderdate) as ordered",
+        "cast(o_totalprice as decimal(12,2)) as total",
+        """case when v < versions then 'PENDING' when o_orderstatus = 'F' then 'DELIVERED' when o_orderstatus = 'P' then 'Shipped'
+           when o_orderpriority = '1-URGENT' then 'Processing' when o_orderpriority = '2-HIGH' then 'shipped'
+           when o_orderpriority = '3-MEDIUM' then 'Cancelled' when o_orderpriority = '4-NOT SPECIFIED' then 'refunded'
+           else 'pending' end as status""",
+        """case when v < versions then 'Pending' when o_orderstatus = 'F' and o_orderpriority = '4-NOT SPECIFIED' then 'Refunded'
+           when o_orderstatus in ('F', 'P') then 'COMPLETED' when o_orderpriority = '3-MEDIUM' then 'failed'
+           when o_orderpriority = '5-LOW' then 'pending' else 'success' end as paid""",
+    ).selectExpr("*", "lower(status) in ('shipped', 'delivered', 'refunded') as sent", "lower(paid) <> 'pending' as settled",
+                 "cast(o_orderkey * 10 + 1 as decimal(38,0)) as ident")
     return _select(df, {
-        "order_id": key, "customer_id": parent, "order_date": ordered,
-        "payment_date": F.when(has_payment, F.timestamp_add("HOUR", F.lit(1), ordered)),
-        "shipment_date": F.when(shipped & (pri != "2-HIGH"), _days(ordered, 1)),
-        "delivered_date": F.when((st == "F") & (pri != "1-URGENT"), _days(ordered, 9)),
-        "created_at": ordered, "updated_at": _days(ordered, v),
-        "order_status": status, "payment_status": paid,
-        "subtotal": F.round(total * F.lit("0.90").cast("decimal(3,2)"), 2).cast(MONEY),
-        "discount_amount": F.round(total * F.lit("0.05").cast("decimal(3,2)"), 2).cast(MONEY),
-        "tax_amount": F.round(total * F.lit("0.08").cast("decimal(3,2)"), 2).cast(MONEY),
-        "shipping_cost": (key % 20).cast(MONEY),
-        "total_amount": signed.cast(MONEY),
-        "payment_method": F.when(~((st == "P") & (pri == "5-LOW")), _pick(METHODS, key)),
-        "payment_id": F.when(has_payment, ident),
-        "shipping_carrier": F.when(shipped, _pick(CARRIERS, F.col("o_custkey"))),
-        "tracking_number": F.when(shipped, ident),
-        "customer_segment_at_order": F.when(pri.isin("1-URGENT", "2-HIGH"), "VIP").otherwise("Regular"),
-        **_audit("rds", _batch_ts(ordered, v), _load_type(v), key, st, pri, v),
+        "order_id": "o_orderkey",
+        "customer_id": "if(total >= 490000, -1 - o_custkey, o_custkey * 2)",
+        "order_date": "ordered",
+        "payment_date": "if(settled, timestampadd(HOUR, 1, ordered), null)",
+        "shipment_date": f"if(sent and o_orderpriority <> '2-HIGH', {_days('ordered', 1)}, null)",
+        "delivered_date": f"if(o_orderstatus = 'F' and o_orderpriority <> '1-URGENT', {_days('ordered', 9)}, null)",
+        "created_at": "ordered", "updated_at": _days("ordered", "v"),
+        "order_status": "status", "payment_status": "paid",
+        "subtotal": _share("total", "0.90"), "discount_amount": _share("total", "0.05"), "tax_amount": _share("total", "0.08"),
+        "shipping_cost": "cast(o_orderkey % 20 as decimal(12,2))",
+        "total_amount": """cast(if(o_orderstatus = 'O' and o_orderpriority = '4-NOT SPECIFIED' and total < 50000, -total, total)
+                           as decimal(12,2))""",
+        "payment_method": f"if(o_orderstatus = 'P' and o_orderpriority = '5-LOW', null, {_pick(METHODS, 'o_orderkey')})",
+        "payment_id": "if(settled, ident, null)",
+        "shipping_carrier": f"if(sent, {_pick(CARRIERS, 'o_custkey')}, null)",
+        "tracking_number": "if(sent, ident, null)",
+        "customer_segment_at_order": "if(o_orderpriority in ('1-URGENT', '2-HIGH'), 'VIP', 'Regular')",
+        **_audit("rds", _batch_ts("ordered", "v"), LOAD_TYPE, "o_orderkey, o_orderstatus, o_orderpriority, v"),
     })
 
 
 def _lines(t: StarTables) -> DataFrame:
-    shipped = _seconds(F.col("l_shipdate"), (F.col("l_partkey") % 86400).cast("int"))
-    return t.read("lineitem").withColumn("shipped", shipped)
+    return t.read("lineitem").selectExpr("*", "timestampadd(SECOND, cast(l_partkey % 86400 as int), l_shipdate) as shipped")
 
 
-def _line_audit() -> dict[str, Column]:
-    return _audit("api", _batch_ts(F.col("shipped"), F.lit(1)), F.lit("full"),
-                  F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"),
-                  _cents(F.col("l_quantity")), _cents(F.col("l_extendedprice")),
-                  F.date_format("l_shipdate", "yyyy-MM-dd"))
+def _line_audit() -> dict[str, str]:
+    return _audit("api", _batch_ts("shipped", "1"), "'full'",
+                  f"l_orderkey, l_linenumber, l_partkey, l_suppkey, {_cents('l_quantity')}, {_cents('l_extendedprice')}, "
+                  "date_format(l_shipdate, 'yyyy-MM-dd')")
 
 
 def order_items(t: StarTables) -> DataFrame:
-    price = F.col("l_extendedprice").cast(MONEY)
-    quantity = F.col("l_quantity").cast("int")
     return _select(_lines(t), {
-        "order_item_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
-        "order_id": F.col("l_orderkey"), "product_id": F.col("l_partkey"),
-        "quantity": quantity, "unit_price": price,
-        "line_total": F.round(price * quantity, 2).cast("decimal(16,2)"),
-        "created_at": F.col("shipped"),
+        "order_item_id": "l_orderkey * 10 + l_linenumber",
+        "order_id": "l_orderkey", "product_id": "l_partkey",
+        "quantity": "cast(l_quantity as int)", "unit_price": "cast(l_extendedprice as decimal(12,2))",
+        "line_total": "cast(round(cast(l_extendedprice as decimal(12,2)) * cast(l_quantity as int), 2) as decimal(16,2))",
+        "created_at": "shipped",
     })
 
 
 def payments(t: StarTables) -> DataFrame:
     """Hyphenated names and text dates in two formats, some missing, some junk."""
-    line, shipped = F.col("l_linenumber"), F.col("shipped")
-    method = _pick(METHODS, line)
-    spaced, iso = F.date_format(shipped, SPACE_FORMAT), F.date_format(shipped, ISO_FORMAT)
-    paid = (F.when(line <= 3, spaced).when(line <= 5, iso).when(line == 7, F.lit("10:00:00")))
-    status = (F.when(F.col("l_returnflag") == "R", "Refunded")
-              .when(F.col("l_returnflag") == "A", "COMPLETED")
-              .when(F.col("l_linestatus") == "F", "failed")
-              .otherwise("Pending"))
     return _select(_lines(t), {
-        "payment-id": F.col("l_orderkey") * 10 + line,
-        "order-id": F.when(F.col("l_quantity") == 50, -1 - F.col("l_orderkey")).otherwise(F.col("l_orderkey")),
-        "customer-id": F.col("l_suppkey"),
-        "payment-method": method,
-        "card-brand": F.when(method == "Credit_Card", _pick(BRANDS, F.col("l_partkey"))),
-        "card-last-4": F.when(method == "Credit_Card", F.lpad((F.col("l_partkey") % 10000).cast("string"), 4, "0")),
-        "amount": F.col("l_extendedprice"),
-        "payment-status": status,
-        "payment-date": paid,
-        "created-at": spaced,
-        "updated-at": F.date_format(_days(shipped, 1), ISO_FORMAT),
+        "payment-id": "l_orderkey * 10 + l_linenumber",
+        "order-id": "if(l_quantity = 50, -1 - l_orderkey, l_orderkey)",
+        "customer-id": "l_suppkey",
+        "payment-method": _pick(METHODS, "l_linenumber"),
+        "card-brand": f"if(l_linenumber % 4 = 0, {_pick(BRANDS, 'l_partkey')}, null)",
+        "card-last-4": "if(l_linenumber % 4 = 0, lpad(cast(l_partkey % 10000 as string), 4, '0'), null)",
+        "amount": "l_extendedprice",
+        "payment-status": """case when l_returnflag = 'R' then 'Refunded' when l_returnflag = 'A' then 'COMPLETED'
+                             when l_linestatus = 'F' then 'failed' else 'Pending' end""",
+        "payment-date": f"""case when l_linenumber <= 3 then date_format(shipped, '{SPACED}')
+                            when l_linenumber <= 5 then date_format(shipped, '{ISO}') when l_linenumber = 7 then '10:00:00' end""",
+        "created-at": f"date_format(shipped, '{SPACED}')",
+        "updated-at": f"date_format({_days('shipped', 1)}, '{ISO}')",
         **_line_audit(),
     })
 
 
 def shipments(t: StarTables) -> DataFrame:
-    line, shipped, flag = F.col("l_linenumber"), F.col("shipped"), F.col("l_returnflag")
-    delivered = F.col("l_linestatus") == "F"
-    status = (F.when(delivered, "Delivered").when(flag == "R", "RETURNED").when(flag == "A", "In_Transit")
-              .when(line == 7, "lost").otherwise("exception"))
-    number = F.col("l_orderkey") * 10 + line
     return _select(_lines(t), {
-        "tracking_number": number,
-        "tracking_code": F.concat(F.lit("TRK"), number.cast("string")),
-        "order_id": F.when(F.col("l_quantity") == 49, -1 - F.col("l_orderkey")).otherwise(F.col("l_orderkey")),
-        "shipping_carrier": _pick(CARRIERS, line),
-        "origin_country": F.lit("United States"),
-        "destination_country": _pick(COUNTRIES, F.col("l_suppkey")),
-        "destination_postal_code": F.lpad((F.col("l_suppkey") % 100000).cast("string"), 5, "0"),
-        "status": status,
-        "shipping_cost": F.col("l_tax") * 100,
-        "shipment-date": F.when(line != 5, F.date_format(shipped, SPACE_FORMAT)),
-        "estimated-delivery-date": F.date_format(_days(shipped, 5), ISO_FORMAT),
-        "actual-delivery-date": F.when(F.col("l_quantity") == 13, "soon")
-                                 .when(delivered, F.date_format(_days(shipped, 4), SPACE_FORMAT)),
-        "created-at": F.date_format(shipped, SPACE_FORMAT),
-        "updated-at": F.date_format(_days(shipped, 2), ISO_FORMAT),
+        "tracking_number": "l_orderkey * 10 + l_linenumber",
+        "tracking_code": "concat('TRK', l_orderkey * 10 + l_linenumber)",
+        "order_id": "if(l_quantity = 49, -1 - l_orderkey, l_orderkey)",
+        "shipping_carrier": _pick(CARRIERS, "l_linenumber"),
+        "origin_country": "'United States'",
+        "destination_country": _pick(COUNTRIES, "l_suppkey"),
+        "destination_postal_code": "lpad(cast(l_suppkey % 100000 as string), 5, '0')",
+        "status": """case when l_linestatus = 'F' then 'Delivered' when l_returnflag = 'R' then 'RETURNED'
+                     when l_returnflag = 'A' then 'In_Transit' when l_linenumber = 7 then 'lost' else 'exception' end""",
+        "shipping_cost": "l_tax * 100",
+        "shipment-date": f"if(l_linenumber <> 5, date_format(shipped, '{SPACED}'), null)",
+        "estimated-delivery-date": f"date_format({_days('shipped', 5)}, '{ISO}')",
+        "actual-delivery-date": f"""case when l_quantity = 13 then 'soon'
+                                    when l_linestatus = 'F' then date_format({_days('shipped', 4)}, '{SPACED}') end""",
+        "created-at": f"date_format(shipped, '{SPACED}')",
+        "updated-at": f"date_format({_days('shipped', 2)}, '{ISO}')",
         **_line_audit(),
     })
 
 
 def products(t: StarTables) -> DataFrame:
-    key, price = F.col("p_partkey"), F.col("p_retailprice").cast("decimal(10,2)")
-    df = (t.read("part")
-          .withColumn("versions", F.when(F.col("p_size") > 40, 2).otherwise(1))
-          .withColumn("v", F.explode(F.sequence(F.lit(1), F.col("versions")))))
-    v = F.col("v")
-    created = _days(F.lit("1994-01-01 00:00:00").cast("timestamp"), (key % 2500).cast("int"))
+    df = _versions(t.read("part"), "p_size > 40").selectExpr(
+        "*", "cast(p_retailprice as decimal(10,2)) as price",
+        "timestampadd(DAY, cast(p_partkey % 2500 as int), timestamp '1994-01-01') as created")
     return _select(df, {
-        "product_id": key,
-        "product_name": F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")),
-        "category": F.concat(F.col("p_type"), F.lit(" ")),
-        "sub_category": F.concat(F.lit(" "), F.upper(F.split_part(F.col("p_name"), F.lit(" "), F.lit(2)))),
-        "brand": F.concat(F.lit(" "), F.col("p_brand")),
-        "price": F.when(v < F.col("versions"), price + 1).otherwise(price).cast("decimal(10,2)"),
-        "cost": F.round(price * F.lit("0.60").cast("decimal(3,2)"), 2).cast("decimal(10,2)"),
-        "created_at": created,
-        "color": F.concat(F.upper(F.split_part(F.col("p_name"), F.lit(" "), F.lit(1))), F.lit(" ")),
-        **_audit("rds", _batch_ts(created, v), _load_type(v), key, F.col("p_brand"), v),
+        "product_id": "p_partkey",
+        "product_name": "concat('  ', p_name, ' ')",
+        "category": "concat(p_type, ' ')",
+        "sub_category": "concat(' ', upper(split_part(p_name, ' ', 2)))",
+        "brand": "concat(' ', p_brand)",
+        "price": "cast(if(v < versions, price + 1, price) as decimal(10,2))",
+        "cost": "cast(round(price * cast('0.60' as decimal(3,2)), 2) as decimal(10,2))",
+        "created_at": "created",
+        "color": "concat(upper(split_part(p_name, ' ', 1)), ' ')",
+        **_audit("rds", _batch_ts("created", "v"), LOAD_TYPE, "p_partkey, p_brand, v"),
     })
 
 

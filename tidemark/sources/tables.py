@@ -7,6 +7,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.session import use_utc
+from tidemark.sinks.files import size_of
+
+
+SPREAD_FROM_BYTES = 2 << 20
+SPREAD_COLUMNS = 4
+
+
+def spread_short_scan(df: DataFrame, path: str) -> DataFrame:
+    """Spreads a scan that has fewer splits than there are cores, as of one file with one row group.
+
+    Otherwise one task would do all the row-wise work. A table of many files has splits enough and is left
+    as it is, and so is one too small to matter; both are told by size alone, without reading data.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b"))
+    if not SPREAD_FROM_BYTES <= size_of(spark, path) < cores * split:
+        return df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    # by value, which unlike a round-robin spread needs no sort to be repeatable
+    return df.repartition(cores, *df.columns[:SPREAD_COLUMNS])
 
 
 class StarTables:
@@ -21,7 +43,7 @@ class StarTables:
 
     def read(self, name: str) -> DataFrame:
         """Zone-less timestamps become UTC timestamps, which epoch arithmetic and windows need."""
-        df = self.spark.read.parquet(self.path(name))
+        df = spread_short_scan(self.spark.read.parquet(self.path(name)), self.path(name))
         return df.withColumns({
             field.name: F.col(field.name).cast("timestamp")
             for field in df.schema.fields
