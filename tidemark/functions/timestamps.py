@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPACE_FORMAT = "yyyy-MM-dd HH:mm:ss"
+SPACE_FORMAT = "yyyy-MM-dd HH:mm:ss"  # fixed value: how the sources write timestamps
 _ISO = r"^\d{4}-\d{2}-\d{2}(T.*)?$"
 _SPACED = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
@@ -24,10 +24,9 @@ def parse_iso(c: Column | str) -> Column:
 
 
 def parse_any(c: Column | str) -> Column:
-    """ISO-8601 first, then ``yyyy-MM-dd HH:mm:ss``."""
+    """ISO-8601 first, then ``yyyy-MM-dd HH:mm:ss``; both shapes are read by the same cast."""
     c = _column(c)
-    spaced = F.when(c.rlike(_SPACED), F.try_to_timestamp(c, F.lit(SPACE_FORMAT)))
-    return F.coalesce(parse_iso(c), spaced)
+    return F.when(c.rlike(f"{_ISO}|{_SPACED}"), F.try_to_timestamp(c))
 
 
 def parse_timestamp_safe(c: Column | str, out: str, parser=parse_iso) -> dict[str, Column]:
