@@ -21,6 +21,9 @@ NAMES = ("region nation customer supplier part orders lineitem events documents
          "labels conversations").split()
 
 
+EXACT = bool(os.environ.get("ORACLE_EXACT"))  # compare doubles to the last bit
+
+
 def plain(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return None
@@ -29,7 +32,7 @@ def plain(v):
     if isinstance(v, decimal.Decimal):
         v = float(v)
     if isinstance(v, float):
-        return float(f"{v:.10g}") + 0.0
+        return (v if EXACT else float(f"{v:.10g}")) + 0.0
     if isinstance(v, (list, tuple)):
         return tuple(plain(x) for x in v)
     return v

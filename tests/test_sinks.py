@@ -125,6 +125,11 @@ def test_bronze_layout_and_load_types(spark, scratch):
     assert not files.exists(spark, f"{scratch}/orders")
 
 
+def test_shuffle_sizing():
+    from tidemark.session import shuffle_partitions
+    assert shuffle_partitions(1 << 30) == 200 and shuffle_partitions(10 << 40) == 81920
+
+
 def test_paths():
     assert landing.bronze_path("b", "orders", "2024-01-01", "FULL") == "b/orders/ingestion_date=2024-01-01/load_type=full"
     assert landing.bronze_path("b", "orders", dt.date(2024, 1, 1), "full", dt.date(2024, 1, 2)).endswith("/event_date=2024-01-02")

@@ -8,15 +8,26 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_PARTITION_BYTES = 128 << 20  # what one task sorts without spilling on a usual executor
 
 
-def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with UTC timestamps, adaptive execution and the UI off."""
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """Number of shuffle partitions for the largest expected exchange; adaptive execution merges small ones."""
+    return max(200, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES))
+
+
+def build_session(app: str = "tidemark", master: str | None = None, shuffled_bytes: int | None = None, **conf: str) -> SparkSession:
+    """A session with UTC timestamps, adaptive execution and the UI off.
+
+    Give the size of the largest exchange (about the compressed size of the columns a job reads from its
+    largest table) to size shuffles for it.
+    """
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        **({"spark.sql.shuffle.partitions": str(shuffle_partitions(shuffled_bytes))} if shuffled_bytes else {}),
         **conf,
     }
     builder = SparkSession.builder.appName(app)

@@ -65,14 +65,16 @@ def log_path(root: str, at: datetime) -> str:
 def write_to_bronze(root: str, entity: str, df: DataFrame, ingested_at: datetime, load_type: str, system: str) -> int:
     """Lands one batch and returns its row count; an empty batch writes nothing.
 
-    The batch is staged first, so unique ids stay fixed over retries and nothing is replaced before the new
-    rows exist. A full load replaces the entity, an incremental one only its own partition.
+    The source is read once, into the staged copy all later steps use: it may change meanwhile, and nothing is
+    replaced before the new rows exist. The hash covers the record as delivered. A full load replaces the
+    entity, an incremental one only its own partition.
     """
-    batch = stage(add_bronze_metadata(coerce_timestamps(df), ingested_at, system), f"bronze-{entity}")
-    rows = batch.count()
+    raw = stage(df, f"landing-{entity}")
+    rows = raw.count()
     if rows == 0:
         return 0
-    event_date = batch_event_date(batch.drop(INGESTED)).first()["event_date"]
+    batch = coerce_timestamps(add_bronze_metadata(raw, ingested_at, system))
+    event_date = batch_event_date(batch.select(*[quote_name(c) for c in df.columns])).first()["event_date"]
     full = load_type.lower() == "full"
     parts = {"ingestion_date": F.lit(ingested_at.date()), "load_type": F.lit(load_type.lower())}
     if event_date is not None:
