@@ -335,9 +335,9 @@ def _(lake):
 
 
 @query("run2_ingest_entities", """SELECT 'orders' AS entity, 'full' AS load_type, count(*) AS n_rows FROM bronze_orders
-UNION ALL SELECT 'orders', 'incremental', count(*) FROM bronze_orders WHERE updated_at >= TIMESTAMP '2001-01-01'
+UNION ALL SELECT 'orders', 'incremental', count(*) FROM bronze_orders WHERE updated_at >= TIMESTAMP '2001-01-01' HAVING count(*) > 0
 UNION ALL SELECT 'customers', 'full', count(*) FROM bronze_customers
-UNION ALL SELECT 'customers', 'incremental', count(*) FROM bronze_customers WHERE updated_at >= TIMESTAMP '2001-01-01'""")
+UNION ALL SELECT 'customers', 'incremental', count(*) FROM bronze_customers WHERE updated_at >= TIMESTAMP '2001-01-01' HAVING count(*) > 0""")
 def _(lake):
     bronze, checkpoints = scratch_path(lake.spark, "bronze"), scratch_path(lake.spark, "checkpoints")
 
