@@ -22,8 +22,6 @@ CARRIERS = ["UPS", "FedEx", "USPS", "DHL"]
 METHODS = ["Credit_Card", "PayPal", "APPLE_PAY", "google_pay"]
 BRANDS = ["Visa", "MasterCard", "AMEX", "Discover"]
 
-SPACED = "yyyy-MM-dd HH:mm:ss"
-ISO = "yyyy-MM-dd''T''HH:mm:ss"
 
 
 def _pick(values: list[str], index: str) -> str:
@@ -36,6 +34,15 @@ def _days(ts: str, n: str | int) -> str:
     return f"timestampadd(DAY, {n}, {ts})"
 
 
+def _spaced(ts: str) -> str:
+    """``yyyy-MM-dd HH:mm:ss``, which is how whole seconds print."""
+    return f"cast({ts} as string)"
+
+
+def _iso(ts: str) -> str:
+    return f"replace({_spaced(ts)}, ' ', 'T')"
+
+
 def _batch_ts(ts: str, version: str) -> str:
     """Yearly batches: rows of a year land together on the first days of the next one."""
     return f"make_timestamp(year({ts}) + 1, 1, {version}, 0, 0, 0)"
@@ -148,7 +155,7 @@ def _lines(t: StarTables) -> DataFrame:
 def _line_audit() -> dict[str, str]:
     return _audit("api", _batch_ts("shipped", "1"), "'full'",
                   f"l_orderkey, l_linenumber, l_partkey, l_suppkey, {_cents('l_quantity')}, {_cents('l_extendedprice')}, "
-                  "date_format(l_shipdate, 'yyyy-MM-dd')")
+                  "cast(to_date(l_shipdate) as string)")
 
 
 def order_items(t: StarTables) -> DataFrame:
@@ -173,10 +180,10 @@ def payments(t: StarTables) -> DataFrame:
         "amount": "l_extendedprice",
         "payment-status": """case when l_returnflag = 'R' then 'Refunded' when l_returnflag = 'A' then 'COMPLETED'
                              when l_linestatus = 'F' then 'failed' else 'Pending' end""",
-        "payment-date": f"""case when l_linenumber <= 3 then date_format(shipped, '{SPACED}')
-                            when l_linenumber <= 5 then date_format(shipped, '{ISO}') when l_linenumber = 7 then '10:00:00' end""",
-        "created-at": f"date_format(shipped, '{SPACED}')",
-        "updated-at": f"date_format({_days('shipped', 1)}, '{ISO}')",
+        "payment-date": f"""case when l_linenumber <= 3 then {_spaced('shipped')}
+                            when l_linenumber <= 5 then {_iso('shipped')} when l_linenumber = 7 then '10:00:00' end""",
+        "created-at": _spaced("shipped"),
+        "updated-at": _iso(_days("shipped", 1)),
         **_line_audit(),
     })
 
@@ -193,12 +200,12 @@ def shipments(t: StarTables) -> DataFrame:
         "status": """case when l_linestatus = 'F' then 'Delivered' when l_returnflag = 'R' then 'RETURNED'
                      when l_returnflag = 'A' then 'In_Transit' when l_linenumber = 7 then 'lost' else 'exception' end""",
         "shipping_cost": "l_tax * 100",
-        "shipment-date": f"if(l_linenumber <> 5, date_format(shipped, '{SPACED}'), null)",
-        "estimated-delivery-date": f"date_format({_days('shipped', 5)}, '{ISO}')",
+        "shipment-date": f"if(l_linenumber <> 5, {_spaced('shipped')}, null)",
+        "estimated-delivery-date": _iso(_days("shipped", 5)),
         "actual-delivery-date": f"""case when l_quantity = 13 then 'soon'
-                                    when l_linestatus = 'F' then date_format({_days('shipped', 4)}, '{SPACED}') end""",
-        "created-at": f"date_format(shipped, '{SPACED}')",
-        "updated-at": f"date_format({_days('shipped', 2)}, '{ISO}')",
+                                    when l_linestatus = 'F' then {_spaced(_days('shipped', 4))} end""",
+        "created-at": _spaced("shipped"),
+        "updated-at": _iso(_days("shipped", 2)),
         **_line_audit(),
     })
 
