@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, neardup, packing, quality, urls
+from tidemark.llm import decontaminate, language, neardup, packing, quality, toxicity, urls
 from tidemark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ URL_RULES = [
 @query("op4_url_filters", urls.oracle_sql(URL_RULES))
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), spark.createDataFrame(URL_RULES, urls.RULE_COLUMNS))
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -81,13 +81,18 @@ class Words:
         self.rows = np.searchsorted(self.offsets, self.starts, side="right") - 1
         self.counts = np.bincount(self.rows, minlength=self.n_rows)
         self.first = np.r_[0, np.cumsum(self.counts)]
+        self._sums: tuple[bool, np.ndarray] | None = None
 
-    def hashes(self, fold: bool = True) -> np.ndarray:
-        """One 64-bit hash per word, by default of the word with A-Z lower-cased."""
+    def hashes(self, fold: bool = True, prefix: int | None = None) -> np.ndarray:
+        """One 64-bit hash per word, by default of the word with A-Z lower-cased; with ``prefix`` of its first bytes."""
         power, back = _power_tables(len(self.data))
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((_FOLDED if fold else _BYTE)[self.data] * power[:len(self.data)], out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * back[self.starts] + (self.ends - self.starts).astype(np.uint64))
+        if self._sums is None or self._sums[0] != fold:
+            sums = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum((_FOLDED if fold else _BYTE)[self.data] * power[:len(self.data)], out=sums[1:])
+            self._sums = fold, sums
+        sums = self._sums[1]
+        ends = self.ends if prefix is None else np.minimum(self.ends, self.starts + prefix)
+        return mix((sums[ends] - sums[self.starts]) * back[self.starts] + (ends - self.starts).astype(np.uint64))
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i]:self.ends[i]].tobytes()
