@@ -36,6 +36,7 @@ HASHES = 3
 BITS_PER_GRAM = 16
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
+MIN_SCORE = 0.2  # of clean text nearly all n-grams are known, of text in another language hardly any
 
 _U = np.uint64
 _CLEAN = np.full(256, 0x20, np.uint8)  # letters, and bytes of characters outside ASCII, stay
@@ -176,3 +177,21 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """doc_id, held_out, lang_pred, score; learned from the documents that are not held out."""
     model = learn(held_out(docs).where("not held_out"), per_language)
     return held_out(predicted(docs, model)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, columns: tuple[str, ...], min_score: float = MIN_SCORE, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """``columns`` of the documents whose language is recognised with at least ``min_score``; judged where they are read."""
+    model = learn(held_out(docs).where("not held_out"), per_language)
+    rows = docs.select(*columns)
+    if model is None:
+        return rows.limit(0)
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lettered = np.array(batch.column("_lettered").to_pylist(), bool)
+            own = batch.select(list(columns))
+            scores = [held.value.scores(*grams(part.column("text"))).max(axis=1) for part in text_chunks(batch.select(["text"]))]
+            yield own.filter(pa.array(lettered & (np.concatenate([*scores, np.zeros(0)]) >= min_score)))
+
+    return rows.withColumn("_lettered", F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))).mapInArrow(run, rows.schema)
