@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, neardup, packing, quality, toxicity, urls
+from tidemark.llm import decontaminate, language, lm, neardup, packing, quality, toxicity, urls
 from tidemark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_toxicity")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op7_lm_scoring")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.language_model_scores(table(spark, folder, "documents"))
