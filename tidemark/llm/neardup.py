@@ -8,13 +8,14 @@ How the work is laid out:
 
 1. One pass over the texts yields per document the set size, a 128-bit digest of the set and the band keys. No text is
    shuffled. Documents with equal sets collapse to their smallest id before anything else, counted map-side.
-2. Representatives meet per (band, key). A bucket never emits all its pairs: its members are compared with one leader,
-   in a few rounds with different leaders, and members that already share a component with the leader are left out.
-   What still lies in different components of one bucket is then compared exactly, the members outside the bucket's
-   largest component against the rest, so no link between candidates is lost.
+2. Representatives meet per (band, key). A bucket never emits all its pairs: its members are compared with two
+   leaders, the one with the fewest shingles that no other candidate has, which is the hub of a group of edited copies,
+   and the smallest id. What then still lies in different components of one bucket is compared exactly, the members
+   outside the bucket's largest component against the rest, so no link that could join components is lost. Shingles
+   that occur in one candidate only cannot be common, which rules out documents and pairs beforehand, exactly.
 3. Every comparison is made on the whole sets. These are computed only for documents that meet in a bucket; a bitmap of
    fixed size, broadcast, keeps the others out of the shuffle.
-4. Components come from repeated minimum labels over the verified links.
+4. Components come from contracting the graph of verified links until no link is left.
 
 Sketch: with t coordinates, round i < t throws every element into one random bin and keeps the minimum of (i, hash);
 rounds t..2t-1 offer every element to one fixed bin each. The sketch is complete as soon as every bin is filled,
@@ -43,7 +44,7 @@ WIDTH = 5
 PERCENT = 85
 BANDS = 24
 ROWS = 5
-LEADER_ROUNDS = 2
+CELL_BITS = 7  # shingles are counted in 2**7 cells by their upper bits; the smaller counts bound what is common
 BITMAP_BITS = 23  # the bitmap of candidate ids has 2**23 bits, 1 MB
 
 _U = np.uint64
@@ -122,10 +123,10 @@ def candidate_bitmap(ids: DataFrame) -> np.ndarray:
 
 
 def candidate_sets(docs: DataFrame, ids: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id and whole shingle set (sorted 64-bit hashes as bytes) of the documents in ``ids``."""
+    """doc_id, whole shingle set (sorted 64-bit hashes as bytes) and counts by cell of the documents in ``ids``."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(candidate_bitmap(ids))
-    schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary()), ("cells", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,12 +134,15 @@ def candidate_sets(docs: DataFrame, ids: DataFrame, width: int = WIDTH) -> DataF
             keep = (held.value[slot >> 6] >> (slot & 63)) & 1 == 1
             batch = batch.filter(pa.array(keep))
             if batch.num_rows:
-                sets = [own.tobytes() for _, own in shingle_sets(batch, width)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], schema=schema)
+                sets = [own for _, own in shingle_sets(batch, width)]
+                cells = [np.bincount((x >> _U(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS).astype(np.int32) for x in sets]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.tobytes() for x in sets], pa.binary()),
+                                                  pa.array(cells, pa.list_(pa.int32()))], schema=schema)
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
-        "doc_id is not null").withColumn("slot", _slot(F.col("doc_id"))).mapInArrow(run, "doc_id long, shingles binary")
-    return found.join(ids.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("shingles").alias("shingles"))
+        "doc_id is not null").withColumn("slot", _slot(F.col("doc_id"))).mapInArrow(run, "doc_id long, shingles binary, cells array<int>")
+    one = found.join(ids.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max(F.struct("shingles", "cells")).alias("set"))
+    return one.select("doc_id", "set.*")
 
 
 def _verify(percent: int):
@@ -166,79 +170,104 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return both.select("a", "b", "left", "right").mapInArrow(_verify(percent), "a long, b long")
 
 
-def min_labels(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    """Smallest label reachable over ``edges`` (a, b), for every id of ``labels`` (doc_id, label).
+def connected(edges: DataFrame) -> DataFrame:
+    """doc_id and label, the smallest id reachable, of every end of ``edges`` (a, b).
 
-    Labels are ids of the same table. Each round lowers a label to the smallest among its neighbours and then to that label's own label.
+    Each round joins every vertex to its first neighbour or itself, and contracts. Neighbours are ordered by id in even
+    rounds, so that stars end at once, and by a hash in odd ones, so that a chain halves whatever its order.
     """
-    linked = stage(edges.select("a", "b").union(edges.select("b", "a")), "links")
-    labels = stage(labels, "labels")
+    edges = edges.select("a", "b")
+    steps: list[DataFrame] = []
     while True:
-        near = linked.join(labels.select(F.col("doc_id").alias("b"), "label"), "b").groupBy(F.col("a").alias("doc_id")).agg(F.min("label").alias("near"))
-        # the tree of labels also moves: the label's own document takes the smaller label
-        lowered = labels.join(near, "doc_id").where("near < label")
-        offers = lowered.select("doc_id", F.col("near").alias("offer")).union(lowered.select(F.col("label").alias("doc_id"), F.col("near").alias("offer")))
-        best = offers.groupBy("doc_id").agg(F.min("offer").alias("offer"))
-        moved = labels.join(best, "doc_id", "left").select("doc_id", "label", F.least("label", "offer").alias("next"))
-        up = moved.select(F.col("doc_id").alias("next"), F.col("next").alias("top"))
-        jumped = stage(moved.join(up, "next").select("doc_id", F.col("top").alias("label"), (F.col("top") < F.col("label")).alias("changed")), "labels")
-        labels = jumped.select("doc_id", "label")
-        if not jumped.where("changed").limit(1).count():
-            return labels
+        k = len(steps)
+        rank = (lambda c: F.col(c)) if k % 2 == 0 else (lambda c, k=k: F.xxhash64(c, F.lit(k)))
+        ends = edges.union(edges.select("b", "a")).union(edges.select("a", "a")).union(edges.select("b", "b")).toDF("v", "w")
+        step = stage(ends.groupBy("v").agg(F.min_by("w", F.struct(rank("w"), F.col("w"))).alias("to")), "steps")
+        steps.append(step)
+        a, b = step.toDF("a", "to_a"), step.toDF("b", "to_b")
+        moved = edges.join(a, "a").join(b, "b").where("to_a != to_b")
+        edges = stage(moved.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct(), "links")
+        if not edges.limit(1).count():
+            break
+    root = steps[0].toDF("doc_id", "root")
+    for step in steps[1:]:
+        root = root.join(step.toDF("root", "to"), "root", "left").select("doc_id", F.coalesce("to", "root").alias("root"))
+    if len(steps) == 1:  # joined by id only: roots are smallest ids
+        return root.toDF("doc_id", "label")
+    root = stage(root, "roots")
+    return root.join(root.groupBy("root").agg(F.min("doc_id").alias("label")), "root").select("doc_id", "label")
 
 
-def components(reps: DataFrame, docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """doc_id and label of the documents in ``reps`` (doc_id, n_shingles, keys) that meet another one in a bucket."""
-    entries = reps.select("doc_id", "n_shingles", F.posexplode("keys").alias("band", "key"))
-    shared = entries.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
-    members = stage(entries.join(shared, ["band", "key"]), "members")
-    ids = stage(members.select("doc_id").distinct(), "candidates")
-    sets = stage(candidate_sets(docs, ids, width), "sets")
-    labels = ids.select("doc_id", F.col("doc_id").alias("label"))
-    done: DataFrame | None = None
-    for k in range(LEADER_ROUNDS):
-        rank = F.col("doc_id") if k == 0 else F.xxhash64("doc_id", F.lit(k))
-        here = members.join(labels, "doc_id")
-        leaders = here.groupBy("band", "key").agg(F.min_by(F.struct("doc_id", "label", "n_shingles"), rank).alias("leader"))
-        pairs = here.join(leaders, ["band", "key"]).where(
-            (F.col("label") != F.col("leader.label")) & _sizes_fit(F.col("n_shingles"), F.col("leader.n_shingles"), percent))
-        pairs = _ordered(pairs.select(F.col("doc_id").alias("x"), F.col("leader.doc_id").alias("y"))).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        done = pairs if done is None else done.union(pairs)
-        edges = stage(verified(pairs, sets, percent), "edges")
-        if edges.limit(1).count():
-            labels = min_labels(_by_label(edges, labels), labels)
-    here = stage(members.join(labels, "doc_id"), "members")
-    per_label = here.groupBy("band", "key", "label").agg(F.count("*").alias("n"))
-    open_buckets = per_label.groupBy("band", "key").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("largest")).where("labels > 1")
-    inside = here.join(open_buckets, ["band", "key"])
-    outside = inside.where("label != largest").select("band", "key", F.col("doc_id").alias("x"), F.col("label").alias("x_label"), F.col("n_shingles").alias("x_n"))
-    pairs = outside.join(inside, ["band", "key"]).where(
-        (F.col("x_label") != F.col("label")) & _sizes_fit(F.col("x_n"), F.col("n_shingles"), percent)
-        & ((F.col("label") == F.col("largest")) | (F.col("x") < F.col("doc_id"))))
-    pairs = _ordered(pairs.select("x", F.col("doc_id").alias("y"))).distinct()
-    if done is not None:
-        pairs = pairs.join(done, ["a", "b"], "left_anti")
-    edges = stage(verified(pairs, sets, percent), "edges")
-    return min_labels(_by_label(edges, labels), labels) if edges.limit(1).count() else labels
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in range(0, batch.num_rows, 256):
+            some = batch.slice(part, 256)
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in some.column("shingles")]
+            ids = np.repeat(some.column("doc_id").to_numpy(), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets))], names=["doc_id", "shingle"])
 
 
-def _sizes_fit(x: Column, y: Column, percent: int) -> Column:
-    """Two sets of these sizes can be similar enough."""
-    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """doc_id, n (shingles) and own, how many of them no other candidate has."""
+    each = sets.mapInArrow(_spread, "doc_id long, shingle long")
+    alone = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).where("n = 1").groupBy("doc_id").agg(F.count("*").alias("own"))
+    return sets.select("doc_id", (F.octet_length("shingles") / 8).cast("long").alias("n")).join(alone, "doc_id", "left").fillna(0, ["own"])
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+def _may_link(n: Column, own: Column, n2: Column, own2: Column, percent: int) -> Column:
+    """Two sets can be similar enough: at most what neither has alone is common."""
+    common = F.least(n - own, n2 - own2)
+    return common * 100 >= (n + n2 - common) * percent
 
 
-def _by_label(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    """Links between documents and also between their present labels, so that whole components move at once."""
-    a = labels.select(F.col("doc_id").alias("a"), F.col("label").alias("la"))
-    b = labels.select(F.col("doc_id").alias("b"), F.col("label").alias("lb"))
-    return edges.join(a, "a").join(b, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).where("a != b").distinct()
+def components(reps: DataFrame, docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """doc_id and label of the documents in ``reps`` (doc_id, keys) that have a link."""
+    entries = reps.select("doc_id", F.posexplode("keys").alias("band", "key"))
+    buckets = entries.groupBy("band", "key").agg(F.count("*").alias("members")).where("members > 1").select("band", "key")
+    members = stage(entries.join(buckets, ["band", "key"]), "members")
+    sets = stage(candidate_sets(docs, stage(members.select("doc_id").distinct(), "candidates"), width), "sets")
+    alive = own_shingles(sets).where(F.col("own") * 100 <= F.col("n") * (100 - percent))  # else too much of its own for any link
+    members = stage(members.join(alive, "doc_id"), "members")
+    member = F.struct("doc_id", "n", "own")
+    leaders = members.groupBy("band", "key").agg(F.array(
+        F.min_by(member, F.struct("own", "doc_id")), F.min_by(member, F.struct(F.col("own") + F.col("n"), F.col("doc_id"))),
+        F.min_by(member, F.struct(F.xxhash64("doc_id"), F.col("doc_id"))), F.min_by(member, "doc_id")).alias("leaders"))
+    pairs = members.join(leaders, ["band", "key"]).select("doc_id", "n", "own", F.explode("leaders").alias("to")).where(
+        (F.col("doc_id") != F.col("to.doc_id")) & _may_link(F.col("n"), F.col("own"), F.col("to.n"), F.col("to.own"), percent))
+    edges = stage(verified(_ordered(F.col("doc_id"), F.col("to.doc_id"), pairs), sets, percent), "edges")
+    labels = stage(connected(edges), "labels")
+    return _settled(members, reps.select("doc_id", "keys"), labels, sets, percent)
+
+
+def _settled(members: DataFrame, keys: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``labels`` after comparing whatever shares a bucket but no label and is not ruled out by the counts of its cells."""
+    here = members.join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+    bounds = here.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least")).where("low < high")
+    inside = stage(here.join(bounds.select("band", "key", "least"), ["band", "key"]), "open")
+    sizes = inside.groupBy("band", "key", "label").agg(F.count("*").alias("members"))
+    largest = sizes.groupBy("band", "key").agg(F.max_by("label", F.struct("members", "label")).alias("largest"))
+    inside = inside.join(largest, ["band", "key"]).join(keys, "doc_id").join(sets.select("doc_id", "cells"), "doc_id")
+    # the best partner a set can have lacks just the shingles of its own, or is the smallest in the bucket
+    best = F.greatest(F.col("least"), F.col("n") - F.col("own"))
+    outside = inside.where((F.col("label") != F.col("largest")) & _may_link(F.col("n"), F.col("own"), best, F.lit(0), percent)).select(
+        "band", "key", *[F.col(c).alias(f"x_{c}") for c in ("doc_id", "label", "n", "own", "keys", "cells")])
+    common = F.aggregate(F.zip_with("x_cells", "cells", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)  # no more can be common
+    first_band = F.array_position(F.zip_with("x_keys", "keys", lambda x, y: x == y), True) - 1  # a pair meets in several, but counts in one
+    pairs = outside.join(inside, ["band", "key"]).where(
+        (F.col("x_label") != F.col("label")) & ((F.col("label") == F.col("largest")) | (F.col("x_doc_id") < F.col("doc_id")))
+        & _may_link(F.col("x_n"), F.col("x_own"), F.col("n"), F.col("own"), percent)
+        & (common * 100 >= (F.col("x_n") + F.col("n") - common) * percent) & (first_band == F.col("band")))
+    more = stage(verified(_ordered(F.col("x_doc_id"), F.col("doc_id"), pairs), sets, percent), "edges")
+    if not more.limit(1).count():
+        return labels
+    found = stage(members.select("doc_id").distinct().join(labels, "doc_id", "left").select("doc_id", F.coalesce("label", "doc_id").alias("label")), "labels")
+    a, b = found.toDF("a", "la"), found.toDF("b", "lb")
+    joined = connected(stage(more.join(a, "a").join(b, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "links"))
+    return stage(found.join(joined.toDF("label", "lower"), "label", "left").select("doc_id", F.coalesce("lower", "label").alias("label")), "labels")
+
+
+def _ordered(x: Column, y: Column, pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, width: int = WIDTH) -> DataFrame:
