@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, lm, neardup, packing, quality, toxicity, urls
+from tidemark.llm import decontaminate, html, language, licenses, lm, neardup, packing, quality, toxicity, urls
 from tidemark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,13 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_lm_scoring")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return lm.language_model_scores(table(spark, folder, "documents"))
+
+
+@query("op2_html_extraction")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
+@query("op5_license_scans", licenses.oracle_sql())
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"), licenses.known_licenses(spark))
