@@ -3,7 +3,7 @@
 A window over the whole table, or over one key that holds a third of it, runs in a single task. Here
 the rows are range-partitioned by the full sort order instead, so that a hot key is spread over many
 *slices*; each slice is computed on its own and the few values that cross a slice border (at most one
-row per slice) are added by a broadcast join.
+row per slice) are added by a join.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tidemark.session import stage
 
 SLICE = "_slice"
-SMALL_ROWS = 1_000_000  # below this one task sorts the rows faster than a staged pass
 
 
 def slice_in_order(df: DataFrame, order_by: Sequence[Column], slices: int | None = None) -> DataFrame:
@@ -42,7 +41,7 @@ def _join_carry(local: DataFrame, carry: DataFrame, keys: Sequence[str]) -> Data
     on = local[SLICE] == renamed[f"_c_{SLICE}"]
     for k in keys:
         on = on & local[k].eqNullSafe(renamed[f"_c_{k}"])
-    return (local.join(F.broadcast(renamed), on, "left")  # at most one row per slice
+    return (local.join(renamed, on, "left")  # at most one row per slice; Spark broadcasts it if it is small
             .drop(*[f"_c_{k}" for k in [SLICE, *keys]]))
 
 
@@ -110,17 +109,13 @@ def tile_of(rank: Column, rows: Column | int, tiles: int) -> Column:
     return (tile + 1).cast("bigint")
 
 
-def ntile_columns(df: DataFrame, tiles: int, orders: dict[str, Sequence[Column]],
-                  small_rows: int | None = None, slices: int | None = None) -> DataFrame:
+def ntile_columns(df: DataFrame, tiles: int, orders: dict[str, Sequence[Column]], slices: int | None = None) -> DataFrame:
     """``ntile(tiles)`` over the whole table for several orders, each given as a total order.
 
-    The input is staged and counted first; only a small table takes the single-task window.
+    The input is staged and counted first.
     """
     df = stage(df, "ntile")
     rows = df.count()
-    if rows <= (SMALL_ROWS if small_rows is None else small_rows):
-        return df.withColumns({name: F.ntile(tiles).over(Window.orderBy(*by)).cast("bigint")
-                               for name, by in orders.items()})
     for name, by in orders.items():
         df = row_numbers(df, by, "_rank", slices=slices).withColumn(name, tile_of(F.col("_rank"), rows, tiles)).drop("_rank")
     return df

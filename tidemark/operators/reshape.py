@@ -155,11 +155,12 @@ def tables_with_prefix(spark: SparkSession, database: str, prefix: str, exclude:
     return tables_like(spark, database, f"{prefix}%", exclude)
 
 
-def results_as_dict(df: DataFrame, max_rows: int = 10_000) -> dict[str, list]:
-    """``{column: values}`` of a small result; a larger one is refused, never cut."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} rows; keep the result as a DataFrame")
+def results_as_dict(df: DataFrame) -> dict[str, list]:
+    """``{column: values}`` of a result that the caller knows to be small, as a report or a list of settings.
+
+    To filter a table by a result, keep the result a DataFrame and use :func:`tidemark.operators.joins.matching`.
+    """
+    rows = df.collect()
     return {c: [r[i] for r in rows] for i, c in enumerate(df.columns)}
 
 
@@ -173,11 +174,11 @@ def column_values(df: DataFrame, column: str, order_by: Sequence[Column] | None
 
 
 def table_column_values(spark: SparkSession, table: str, column: str, default: Sequence | None = None,
-                        max_records: int | None = None, max_rows: int = 10_000, **options) -> list:
+                        max_records: int | None = None, **options) -> list:
     """:func:`column_values` of a catalogue table as a list; ``default`` when the table does not exist."""
     if not spark.catalog.tableExists(table):
         if default is None:
             raise ValueError(f"table {table!r} does not exist")
         return list(default)
     values = column_values(spark.table(table), column, max_records=max_records, **options)
-    return results_as_dict(values, max_rows)["value"]
+    return results_as_dict(values)["value"]

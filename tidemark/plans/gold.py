@@ -117,7 +117,7 @@ def customer_360(customers: DataFrame, facts: DataFrame, as_of: Column | None =
         "preferred_payment_method", "preferred_shipping_carrier")
 
 
-def rfm_scores(profiles: DataFrame, small_rows: int | None = None) -> DataFrame:
+def rfm_scores(profiles: DataFrame) -> DataFrame:
     """Quintiles of recency, frequency and revenue; ties are broken by customer id."""
     base = (profiles.where("total_orders > 0 and days_since_last_order is not null")
             .select("customer_id", F.col("days_since_last_order").alias("recency_days"),
@@ -127,7 +127,7 @@ def rfm_scores(profiles: DataFrame, small_rows: int | None = None) -> DataFrame:
         "r_tile": [F.col("recency_days").asc_nulls_last(), key],
         "f_score": [F.col("frequency").asc_nulls_last(), key],
         "m_score": [F.col("monetary").asc_nulls_last(), key],
-    }, small_rows=small_rows).withColumn("r_score", 6 - F.col("r_tile"))
+    }).withColumn("r_score", 6 - F.col("r_tile"))
     scores = [F.col(c) for c in ("r_score", "f_score", "m_score")]
     return scored.select(
         "customer_id", "recency_days", "frequency", "monetary", *scores,

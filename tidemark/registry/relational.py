@@ -313,7 +313,7 @@ def _(lake):
 def _(lake):
     o = lake.table("orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     tiles = ordered.ntile_columns(o, 5, {"price_tile": [c("o_totalprice").asc(), c("o_orderkey").asc()],
-                                         "t": [c("o_orderdate").desc(), c("o_orderkey").asc()]}, small_rows=0)
+                                         "t": [c("o_orderdate").desc(), c("o_orderkey").asc()]})
     return tiles.select("o_orderkey", "price_tile", (6 - c("t")).alias("age_score"))
 
 
@@ -497,5 +497,5 @@ def _(lake):
 @query("rs10_results_as_dict", "SELECT event_id, event_type FROM events WHERE event_type IN (SELECT event_type FROM events GROUP BY 1 HAVING max(value) > 250)")
 def _(lake):
     e = lake.table("events")
-    wanted = reshape.results_as_dict(e.groupBy("event_type").agg(F.max("value").alias("top")).where("top > 250"))
+    wanted = reshape.results_as_dict(e.groupBy("event_type").agg(F.max("value").alias("top")).where("top > 250"))  # a handful of types
     return e.where(c("event_type").isin(wanted["event_type"])).select("event_id", "event_type")
