@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -94,3 +96,13 @@ def last_day(part: str, day: Column) -> Column:
 
 def current_timestamp_utc() -> Column:
     return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+
+
+def aware(at: datetime) -> datetime:
+    """A Python time without zone is taken as UTC, not as local time of the driver's machine."""
+    return at if at.tzinfo else at.replace(tzinfo=timezone.utc)
+
+
+def utc(micros: int) -> datetime:
+    """Microseconds since 1970 as a Python time in UTC."""
+    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=micros)

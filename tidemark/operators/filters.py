@@ -9,17 +9,29 @@ INITIAL = "1970-01-01 00:00:00"  # fixed value: watermark of an empty target
 FINAL_STATUSES = ["cancelled", "refunded"]  # fixed values: orders that never change again
 
 
+def instant(micros: int) -> Column:
+    """A timestamp literal from microseconds since 1970, whatever the zone of the driver's machine."""
+    return F.timestamp_micros(F.lit(micros).cast("bigint"))
+
+
+def newest(df: DataFrame, ts: str) -> int:
+    """The newest timestamp as microseconds since 1970, 0 for an empty table."""
+    return df.agg(F.coalesce(F.unix_micros(F.max(F.col(ts).cast("timestamp"))), F.lit(0)).alias("m")).first()["m"]
+
+
 def newer_than(source: DataFrame, target: DataFrame | None, ts: str = "_ingestion_ts",
-               target_ts: str | None = None) -> DataFrame:
+               target_ts: str | None = None, folder: str | None = None) -> DataFrame:
     """Rows of ``source`` strictly newer than the newest row of ``target`` (all rows without a target).
 
-    The watermark is a scalar subquery, so it is one aggregate over one column of the target and the
-    filter reaches the scan of the source.
+    The watermark is one aggregate over one column of the target and goes into the filter as a literal, so that
+    it reaches the scan of the source. ``folder`` names a partition column with the day of ``ts``: older folders
+    are then not even listed as input.
     """
     if target is None:
         return source
-    mark = target.agg(F.coalesce(F.max(target_ts or ts), F.lit(INITIAL).cast("timestamp"))).scalar()
-    return source.where(F.col(ts) > mark)
+    mark = instant(newest(target, target_ts or ts))
+    rows = source.where(F.col(ts) > mark)
+    return rows.where(F.col(folder) >= F.to_date(mark)) if folder else rows
 
 
 def between_dates(df: DataFrame, column: Column, start: Column, end: Column) -> DataFrame:

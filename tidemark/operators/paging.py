@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.timestamps import aware
+
 
 def page(df: DataFrame, order_by: Sequence[Column], limit: int = 1000, offset: int = 0) -> DataFrame:
     """Rows ``offset .. offset+limit`` of one total order, the same order for every page."""
@@ -29,7 +32,8 @@ def page_after(df: DataFrame, ts: str, key: str, last: tuple | None, limit: int
     NULL timestamps sort last, in key order.
     """
     if last is not None:
-        last_ts, last_key = F.lit(last[0]), F.lit(last[1])
+        at = aware(last[0]) if isinstance(last[0], datetime) else last[0]
+        last_ts, last_key = F.lit(at), F.lit(last[1])
         later_key = F.col(key) > last_key
         if last[0] is None:
             df = df.where(F.col(ts).isNull() & later_key)

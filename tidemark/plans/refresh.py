@@ -2,64 +2,104 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.timestamps import utc
 from tidemark.operators import checks
-from tidemark.operators.filters import INITIAL, newer_than
+from tidemark.operators.filters import instant, newer_than, newest
 from tidemark.plans import gold, silver
 from tidemark.session import stage
-from tidemark.sinks.incremental import read_target, upsert
+from tidemark.sinks import control
+from tidemark.sinks.incremental import read_target, replace_files, upsert
 from tidemark.sources.extract import read_landed
 
 ENTITIES = ["customers", "orders", "payments", "products", "shipments"]
+FACT_SOURCES = ["orders", "payments", "shipments"]
 
 
 def refresh_silver(spark: SparkSession, bronze_root: str, warehouse: str, as_of: Column | None = None) -> dict[str, DataFrame]:
-    """Upserts what arrived since the last refresh; one row per key, also over several batches."""
+    """Upserts what arrived since the last refresh; one row per key, also over several batches.
+
+    Folders older than the newest stored row are not read.
+    """
     tables = {}
     for entity in ENTITIES:
         name, path = f"stg_{entity}", f"{warehouse}/stg_{entity}"
-        landed = newer_than(read_landed(spark, bronze_root, entity), read_target(spark, path))
+        landed = newer_than(read_landed(spark, bronze_root, entity), read_target(spark, path), folder="ingestion_date")
         built = silver.stg_customers(landed, as_of) if entity == "customers" else silver.STAGING[entity](landed)
         upsert(built, path, [checks.KEYS[name]], ["ingestion_date"])
         tables[name] = spark.read.parquet(path)
     return tables
 
 
+def _marks(warehouse: str) -> str:
+    return f"{warehouse}/_fact_sources"
+
+
 def _arrived(df: DataFrame, mark: Column) -> DataFrame:
     return df.where((F.col("_ingestion_ts") > mark) & F.col("order_id").isNotNull()).select("order_id")
 
 
-def refresh_order_facts(spark: SparkSession, silver_tables: dict[str, DataFrame], path: str, grain: str = "day") -> DataFrame:
-    """Rebuilds the facts of orders that are new or changed, or have a new payment or shipment.
+def refresh_order_facts(spark: SparkSession, silver_tables: dict[str, DataFrame], warehouse: str,
+                        grain: str = "day") -> tuple[DataFrame, DataFrame | None]:
+    """The facts, and the days whose figures may have changed (None: all).
 
-    ``grain`` sets the width of a partition; choose month or year where a day holds too few orders for a file.
+    Rebuilt are the orders that are new or changed or have a new payment or shipment. Each of the three sources has a
+    watermark of its own, so a payment that is older than the newest order still counts as new. The watermarks move after the
+    facts are written; a run that breaks off before is repeated by the next. ``grain`` sets the width of a partition; choose month or year where a
+    day holds too few orders for a file.
     """
-    o, p, s = (silver_tables[f"stg_{e}"] for e in ("orders", "payments", "shipments"))
-    target = read_target(spark, path)
+    path = f"{warehouse}/order_facts"
+    sources = {e: silver_tables[f"stg_{e}"] for e in FACT_SOURCES}
+    target, seen = read_target(spark, path), {e: newest(t, "_ingestion_ts") for e, t in sources.items()}
+    days = None
     if target is not None:
-        mark = target.agg(F.coalesce(F.max("_ingestion_ts_orders"), F.lit(INITIAL).cast("timestamp"))).scalar()
-        touched = stage(_arrived(o, mark).unionAll(_arrived(p, mark)).unionAll(_arrived(s, mark)).distinct(), "touched")
-        o, p, s = (t.join(touched, "order_id", "left_semi") for t in (o, p, s))
-    facts = gold.order_facts(o, p, s).withColumn("order_date_partition", F.to_date(F.date_trunc(grain, "order_date")))
+        last = {r["entity"]: r["micros"] for r in control.ensure_checkpoints(spark, _marks(warehouse)).select(
+            "entity", F.unix_micros("last_sync_timestamp").alias("micros")).collect()}
+        arrived = [_arrived(t, instant(last.get(e, 0))) for e, t in sources.items()]
+        touched = stage(reduce(DataFrame.unionAll, arrived).distinct(), "touched")
+        before = target.join(touched, "order_id", "left_semi").select(F.to_date("order_date").alias("day"))
+        days = stage(before.distinct(), "days")
+        sources = {e: t.join(touched, "order_id", "left_semi") for e, t in sources.items()}
+    facts = gold.order_facts(*sources.values()).withColumn("order_date_partition", F.to_date(F.date_trunc(grain, "order_date")))
+    facts = stage(facts, "facts")
     upsert(facts, path, ["order_id"], ["order_date_partition"])
+    now = datetime.now(timezone.utc)
+    for entity, micros in seen.items():
+        control.update_sync(spark, _marks(warehouse), entity, utc(micros), 0, now)
+    if days is not None:
+        days = days.union(facts.select(F.to_date("order_date").alias("day"))).distinct()
+    return spark.read.parquet(path), days
+
+
+def refresh_daily(spark: SparkSession, facts: DataFrame, days: DataFrame | None, path: str, as_of: Column | None = None) -> DataFrame:
+    """Daily figures of the changed days and of the last days; the others stay. One row per day, so written whole."""
+    old = read_target(spark, path)
+    if old is None or days is None:
+        replace_files(gold.daily_metrics(facts), path)
+        return spark.read.parquet(path)
+    day = F.to_date("order_date")
+    recent = gold.recent_days(facts, as_of).select(day.alias("day"))
+    changed = stage(days.union(recent).where("day is not null").distinct(), "days").withColumnRenamed("day", "changed_day")
+    again = facts.join(changed, day == F.col("changed_day"), "left_semi")
+    kept = old.join(changed, old["day"] == changed["changed_day"], "left_anti")
+    replace_files(kept.unionByName(gold.daily_metrics(again)), path)
     return spark.read.parquet(path)
 
 
 def refresh_gold(spark: SparkSession, silver_tables: dict[str, DataFrame], warehouse: str, as_of: Column | None = None,
                  grain: str = "day") -> dict[str, DataFrame]:
-    """Facts by key, daily figures of the last days (one row per day, so unpartitioned), the other tables in full."""
-    facts = refresh_order_facts(spark, silver_tables, f"{warehouse}/order_facts", grain)
-    daily = f"{warehouse}/daily_metrics"
-    recent = facts if read_target(spark, daily) is None else gold.recent_days(facts, as_of)
-    upsert(gold.daily_metrics(recent), daily, ["day"])
-    tables = {"order_facts": facts, "daily_metrics": spark.read.parquet(daily)}
+    """Facts by key, daily figures by day, the other tables in full."""
+    facts, days = refresh_order_facts(spark, silver_tables, warehouse, grain)
+    tables = {"order_facts": facts, "daily_metrics": refresh_daily(spark, facts, days, f"{warehouse}/daily_metrics", as_of)}
 
     def replace(name: str, df: DataFrame) -> None:
-        path = f"{warehouse}/{name}"
-        stage(df, name).write.mode("overwrite").parquet(path)
-        tables[name] = spark.read.parquet(path)
+        replace_files(df, f"{warehouse}/{name}")
+        tables[name] = spark.read.parquet(f"{warehouse}/{name}")
     replace("customer_360", gold.customer_360(silver_tables["stg_customers"], facts, as_of))
     replace("rfm_scores", gold.rfm_scores(tables["customer_360"]))
     replace("product_catalog", gold.product_catalog(silver_tables["stg_products"]))

@@ -16,6 +16,7 @@ AS_OF = "2001-08-02"  # fixed value: the day after the last order
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+BODIES: dict[str, str] = {}  # the SQL without the shared tables
 
 
 def as_of() -> Column:
@@ -68,6 +69,6 @@ def query(name: str, sql: str | None = None):
             return publish(function(Lake(spark, folder)))
         QUERIES[name] = run
         if sql is not None:
-            SQL[name] = full_sql(sql)
+            SQL[name], BODIES[name] = full_sql(sql), sql
         return function
     return wrap

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,12 +50,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session, where driver and executors share one disk, may fall back to a temporary folder.
+    Only a session in one process, as in tests, may set a temporary folder of its own.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
     root = tempfile.mkdtemp(prefix="tidemark-")
     spark.conf.set(CHECKPOINT_DIR, root)
@@ -73,3 +76,18 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
+    """:func:`stage` for the time of one block; the copy is deleted at its end, also after an error.
+
+    Only for results that are written inside the block, as a DataFrame that reads the copy later finds it gone.
+    """
+    from tidemark.sinks import files
+    path = scratch_path(df.sparkSession, label)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        files.delete(df.sparkSession, path)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.filters import INITIAL
+from tidemark.functions.timestamps import aware, utc
+from tidemark.operators.filters import newest
 from tidemark.sinks import files
-from tidemark.sinks.incremental import read_target, upsert
+from tidemark.sinks.incremental import read_target
 
 CHECKPOINT_SCHEMA = "entity string, last_sync_timestamp timestamp, record_count bigint, updated_at timestamp"
 RUN_SCHEMA = ("run_date timestamp, last_processed_date date, status string, records_processed map<string,bigint>, "
@@ -17,24 +18,29 @@ RUN_SCHEMA = ("run_date timestamp, last_processed_date date, status string, reco
 
 
 def ensure_checkpoints(spark: SparkSession, path: str) -> DataFrame:
-    """The checkpoint table, created empty if absent."""
+    """The newest checkpoint of each entity; the folder is created empty if absent.
+
+    Checkpoints are only ever appended, so a write that breaks off leaves the earlier ones as they were.
+    """
     if not files.exists(spark, path):
         spark.createDataFrame([], CHECKPOINT_SCHEMA).write.parquet(path)
-    return spark.read.schema(CHECKPOINT_SCHEMA).parquet(path)
+    written = spark.read.schema(CHECKPOINT_SCHEMA).parquet(path)
+    latest = F.max(F.struct("updated_at", "last_sync_timestamp", "record_count"))
+    return written.groupBy("entity").agg(latest.alias("l")).select(
+        "entity", "l.last_sync_timestamp", "l.record_count", "l.updated_at")
 
 
 def get_last_sync(spark: SparkSession, path: str, entity: str) -> datetime:
-    """Last sync of an entity, the initial date when there is none."""
+    """Last sync of an entity, in UTC without zone; the initial date when there is none."""
     rows = ensure_checkpoints(spark, path).where(F.col("entity") == entity)
-    last = rows.agg(F.coalesce(F.max("last_sync_timestamp"), F.lit(INITIAL).cast("timestamp")).alias("t"))
-    return last.first()["t"]
+    return utc(newest(rows, "last_sync_timestamp")).replace(tzinfo=None)
 
 
 def update_sync(spark: SparkSession, path: str, entity: str, synced: datetime, records: int,
                 now: datetime | None = None) -> None:
-    ensure_checkpoints(spark, path)
-    row = spark.createDataFrame([(entity, synced, records, now or datetime.now())], CHECKPOINT_SCHEMA)
-    upsert(row, path, ["entity"])
+    """Appends a checkpoint; the newest by ``now`` counts."""
+    row = spark.createDataFrame([(entity, aware(synced), records, aware(now or datetime.now(timezone.utc)))], CHECKPOINT_SCHEMA)
+    row.write.mode("append").parquet(path)
 
 
 def load_type(spark: SparkSession, path: str, requested: str = "incremental") -> str:
@@ -54,7 +60,8 @@ def append_runs(runs: DataFrame, path: str) -> None:
 
 def write_run_log(spark: SparkSession, path: str, processed: date, status: str, records: dict[str, int] | None = None,
                   error: str | None = None, now: datetime | None = None) -> None:
-    append_runs(spark.createDataFrame([(now or datetime.now(), processed, status, records or {}, error)], RUN_SCHEMA), path)
+    at = aware(now or datetime.now(timezone.utc))
+    append_runs(spark.createDataFrame([(at, processed, status, records or {}, error)], RUN_SCHEMA), path)
 
 
 def last_run_date(runs: DataFrame) -> DataFrame:

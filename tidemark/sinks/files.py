@@ -26,6 +26,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, p = _resolve(spark, path)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct subfolders, sorted."""
     fs, p = _resolve(spark, path)

@@ -4,19 +4,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
-from datetime import date, datetime, timedelta
-from functools import reduce
-from operator import and_
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import quote_name
-from tidemark.functions.timestamps import date_or_null
+from tidemark.functions.timestamps import aware, date_or_null, datediff, utc
 from tidemark.operators.dedupe import first_per_key
-from tidemark.operators.filters import newer_than
-from tidemark.session import stage
+from tidemark.operators.filters import newer_than, newest
+from tidemark.session import staged
 from tidemark.sinks import files
 
 ROWS_PER_FILE = 100_000  # fixed value: largest file of an appended partition
@@ -27,6 +25,7 @@ def read_target(spark: SparkSession, path: str, schema: T.StructType | None = No
 
     With a schema no file footer is opened to find one; columns a file lacks are NULL, others are ignored.
     """
+    recover_files(spark, path)
     if not files.exists(spark, path):
         return None
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
@@ -48,11 +47,11 @@ def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 def insert_overwrite(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replaces every partition that occurs in ``df`` and leaves the others alone. ``df`` may read ``path``:
     it is staged before anything is replaced."""
-    staged = stage(df, "overwrite")
-    writer = _clustered(staged, partition_by).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    with staged(df, "overwrite") as rows:
+        writer = _clustered(rows, partition_by).write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        writer.parquet(path)
 
 
 def incremental_overwrite(source: DataFrame, build: Callable[[DataFrame], DataFrame], path: str,
@@ -67,7 +66,8 @@ def incremental_overwrite(source: DataFrame, build: Callable[[DataFrame], DataFr
     target = None if full_refresh else read_target(spark, path)
     built = build(newer_than(source, target, ts, target_ts))
     if full_refresh:
-        stage(built, "refresh").write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        with staged(built, "refresh") as rows:
+            rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     else:
         insert_overwrite(built, path, partition_by)
 
@@ -78,50 +78,74 @@ def align_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
                        for f in schema.fields])
 
 
-def _inside(values: list[tuple], partition_by: Sequence[str]) -> Column:
-    """Filter on partition folders. Plain conditions on the partition columns prune the scan to them."""
-    inside = F.lit(False)
-    if len(partition_by) == 1:
-        given = [v[0] for v in values if v[0] is not None]
-        inside = F.col(partition_by[0]).isin(given) if given else inside
-        return inside | F.col(partition_by[0]).isNull() if len(given) < len(values) else inside
-    for v in values:
-        inside = inside | reduce(and_, [F.col(p).eqNullSafe(F.lit(x)) for p, x in zip(partition_by, v)])
-    return inside
-
-
-def upsert(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
+def upsert(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), version: str | None = None) -> None:
     """One row per key: new rows win, the others stay, and the columns follow the new rows.
 
+    With ``version`` a new row wins only if its version is not older than the stored one, so that late batches may come in any order.
     Only partitions that receive rows or lose an old version are rewritten; of the others just the keys are
     read. ``df`` must hold one row per key.
     """
     spark = df.sparkSession
-    new = stage(df, "upsert-new")
-    old = read_target(spark, path, new.schema)
-    if old is None:
-        insert_overwrite(new, path, partition_by)
-        return
+    with staged(df, "upsert-new") as new:
+        old = read_target(spark, path, new.schema)
+        if old is None:
+            insert_overwrite(new, path, partition_by)
+            return
+        if version:
+            known = old.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(version).alias("_stored"))
+            older = [new[k].eqNullSafe(known[f"_k_{k}"]) for k in keys] + [known["_stored"] > new[version]]
+            with staged(new.join(known, older, "left_anti"), "upsert-newer") as newer:
+                _merge(old, newer, path, keys, partition_by)
+        else:
+            _merge(old, new, path, keys, partition_by)
+
+
+def _merge(old: DataFrame, new: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
+    spark = new.sparkSession
     fresh = new.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     same = [old[k].eqNullSafe(fresh[f"_k_{k}"]) for k in keys]
     if not partition_by:
-        stage(old.join(fresh, same, "left_anti").unionByName(new), "upsert").write.mode("overwrite").parquet(path)
+        replace_files(old.join(fresh, same, "left_anti").unionByName(new), path)
         return
     parts = [F.col(p) for p in partition_by]
+    # folders that get rows or lose a version, at most one row each; the scan below is pruned to them by a join
+    touched = old.join(fresh, same, "left_semi").select(*parts).unionAll(new.select(*parts)).distinct()
+    with staged(touched, "upsert-folders") as folders:
+        named = folders.select(*[F.col(p).alias(f"_f_{p}") for p in partition_by])
+        inside = [old[p].eqNullSafe(named[f"_f_{p}"]) for p in partition_by]
+        kept = old.join(named, inside, "left_semi").join(fresh, same, "left_anti")
+        with staged(kept.unionByName(new), "upsert") as result:
+            if result.isEmpty() and folders.isEmpty():
+                return
+            (_clustered(result, partition_by).write.mode("overwrite").partitionBy(*partition_by)
+             .option("partitionOverwriteMode", "dynamic").parquet(path))
+            # a dynamic overwrite never clears a partition that lost all its rows; those folders are deleted one by one
+            filled = result.select(*[F.col(p).alias(f"_f_{p}") for p in partition_by]).distinct()
+            emptied = folders.join(filled, [folders[p].eqNullSafe(filled[f"_f_{p}"]) for p in partition_by], "left_anti")
+            for row in emptied.toLocalIterator():
+                files.delete(spark, path + "".join(f"/{p}={_folder_value(row[p])}" for p in partition_by))
+
+
+def replace_files(df: DataFrame, path: str) -> None:
+    """Replaces a whole folder of files by ``df``, which may read it. The old files go only when the new ones are complete.
+
+    A run that breaks off in between leaves either the old folder, or the new rows beside it, where :func:`recover_files` finds them.
+    """
+    spark = df.sparkSession
+    fresh, old = f"{path}__new", f"{path}__old"
+    files.delete(spark, fresh)
+    df.write.parquet(fresh)
+    if files.exists(spark, path):
+        files.delete(spark, old)
+        files.rename(spark, path, old)
+    files.rename(spark, fresh, path)
+    files.delete(spark, old)
 
-    def folders(rows: DataFrame) -> list[tuple]:
-        return [tuple(r) for r in rows.distinct().collect()]  # at most one row per partition folder
 
-    touched = folders(old.join(fresh, same, "left_semi").select(*parts).unionAll(new.select(*parts)))
-    if not touched:
-        return
-    kept = old.where(_inside(touched, partition_by)).join(fresh, same, "left_anti")
-    result = stage(kept.unionByName(new), "upsert")
-    (_clustered(result, partition_by).write.mode("overwrite").partitionBy(*partition_by)
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
-    # a dynamic overwrite never clears a partition that lost all its rows
-    for emptied in set(touched) - set(folders(result.select(*parts))):
-        files.delete(spark, path + "".join(f"/{p}={_folder_value(v)}" for p, v in zip(partition_by, emptied)))
+def recover_files(spark: SparkSession, path: str) -> None:
+    """Undoes a :func:`replace_files` that broke off between its two renames."""
+    if not files.exists(spark, path) and files.exists(spark, f"{path}__old"):
+        files.rename(spark, f"{path}__old", path)
 
 
 def _folder_value(value) -> str:
@@ -185,10 +209,10 @@ def period_boundaries(spark: SparkSession, path: str, ts: str, start: datetime,
                       period: str = "week", now: datetime | None = None) -> tuple[datetime, datetime, int]:
     """Start, stop and number of periods of the next run: from the newest stored row (or ``start``) to one
     millisecond before ``stop`` (or now)."""
-    from tidemark.functions.timestamps import datediff
     target = read_target(spark, path)
-    begin = (target.agg(F.max(ts).alias("m")).first()["m"] if target is not None else None) or start
-    end = stop - timedelta(milliseconds=1) if stop else (now or datetime.now())
+    stored = newest(target, ts) if target is not None else 0
+    begin = utc(stored) if stored else aware(start)
+    end = aware(stop) - timedelta(milliseconds=1) if stop else aware(now or datetime.now(timezone.utc))
     n = spark.range(1).select(datediff(period, F.lit(begin), F.lit(end)).alias("n")).first()["n"] + 1
     return begin, end, n
 
@@ -214,7 +238,7 @@ def export_tables(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
     """One Parquet folder per table."""
     paths = {name: f"{root}/{name}" for name in tables}
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(paths[name])
+        replace_files(df, paths[name])
     return paths
 
 

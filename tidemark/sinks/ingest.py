@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.functions.timestamps import utc
 from tidemark.sinks import control, landing
 
 SYSTEMS = {"customers": "rds", "products": "rds", "orders": "rds", "payments": "api", "shipments": "api"}
@@ -17,7 +18,7 @@ def ingest_entity(spark: SparkSession, entity: str, read: Callable[[datetime], D
     """Lands the rows ``read(last_sync)`` returns. The checkpoint becomes the start of the run, so rows that
     change meanwhile are read again next time and deduplicated later."""
     full = load_type == "full"
-    since = datetime(1970, 1, 1) if full else control.get_last_sync(spark, checkpoints, entity)
+    since = utc(0) if full else control.get_last_sync(spark, checkpoints, entity)
     rows = landing.write_to_bronze(bronze_root, entity, read(since), started, load_type, SYSTEMS.get(entity, "rds"))
     control.update_sync(spark, checkpoints, entity, started, rows, started)
     return rows

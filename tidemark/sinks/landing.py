@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import quote_name
-from tidemark.functions.timestamps import parse_any
+from tidemark.functions.timestamps import aware, parse_any
 from tidemark.session import stage
 from tidemark.sinks import files
 
@@ -27,7 +27,7 @@ def record_hash(df: DataFrame) -> Column:
 
 def add_bronze_metadata(df: DataFrame, ingested_at: datetime, system: str) -> DataFrame:
     """Audit columns: ingestion time, source system, change-detection hash and a unique id."""
-    return df.withColumns({INGESTED: F.lit(ingested_at), "_source_system": F.lit(system),
+    return df.withColumns({INGESTED: F.lit(aware(ingested_at)), "_source_system": F.lit(system),
                            "_record_hash": record_hash(df), "_ingestion_id": F.uuid()})
 
 
