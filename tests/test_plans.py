@@ -49,3 +49,25 @@ def test_filters_reach_the_scan(spark):
 def test_windows_are_partitioned(spark):
     for name in ("gld3_customer_360", "wn9_history_at_order_time", "ag8_mode_latest_tie"):
         assert not re.search(r"Window \[[^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*SinglePartition", plan(spark, name))
+
+
+def test_refresh_reads_only_new_landing_folders(spark, scratch):
+    from tidemark.operators.filters import newer_than
+    from pyspark.sql import functions as F
+    rows = spark.range(10).select("id", F.timestamp_add("DAY", F.col("id").cast("int"), F.lit("2024-01-01 06:00:00").cast("timestamp")).alias("_ingestion_ts"))
+    rows.withColumn("ingestion_date", F.to_date("_ingestion_ts")).write.partitionBy("ingestion_date").parquet(scratch)
+    landed = spark.read.parquet(scratch)
+    found = newer_than(landed, landed.where("id < 7"), folder="ingestion_date")
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "ingestion_date#" in text.split("PartitionFilters: ")[1].split("]")[0] and "2024-01-07" in text
+    assert sorted(r.id for r in found.collect()) == [7, 8, 9]
+
+
+@pytest.mark.parametrize("name", ["gld1_order_facts", "jn3_anti_join", "wn1_latest_version", "stg5_stg_shipments"])
+def test_plan_does_not_depend_on_size(spark, name):
+    """The same exchanges over a hundred times the rows."""
+    def exchanges(folder):
+        text = QUERIES[name](spark, folder)._jdf.queryExecution().sparkPlan().toString()
+        full = QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+        return len(re.findall(r"Exchange (?:hash|range|single|RoundRobin)", full)) + full.count("BroadcastExchange"), text.count("Join")
+    assert exchanges(FOLDER) == exchanges("/root/testdata/sf0.1")

@@ -103,10 +103,14 @@ def test_first_per_key(spark):
 def test_listagg(spark):
     rows = [(1, "a", 1), (1, "b", 2), (1, "c", 3), (2, "a", 2), (2, "1", 1), (2, "p", 3), (3, "g", 1), (3, "g", 2), (3, "g", 3), (3, None, 4)]
     df = spark.createDataFrame(rows, "k int, s string, o int")
-    by = df.groupBy("k")
-    assert collect(by.agg(aggregates.listagg(c("s"), "_|_", order_by=c("o")))) == [(1, "a_|_b_|_c"), (2, "1_|_a_|_p"), (3, "g_|_g_|_g")]
-    assert collect(by.agg(aggregates.listagg(c("s"), ",", distinct=True)))[2] == (3, "g")
-    assert collect(by.agg(aggregates.listagg(c("s"))))[2] == (3, "g,g,g")
+    assert collect(aggregates.listagg(df, ["k"], "s", "_|_", order_by="o")) == [(1, "a_|_b_|_c"), (2, "1_|_a_|_p"), (3, "g_|_g_|_g")]
+    assert collect(aggregates.listagg(df, ["k"], "s", ",", distinct=True))[2] == (3, "g")
+    assert collect(aggregates.listagg(df, ["k"], "s"))[2] == (3, "g,g,g")
+    numbers = spark.createDataFrame([(1, 10), (1, 9), (1, 2), (1, 9), (1, None), (2, None)], "k int, n int")
+    assert collect(aggregates.listagg(numbers, ["k"], "n", "'", distinct=True)) == [(1, "2'9'10"), (2, None)]
+    assert collect(aggregates.listagg(numbers, ["k"], "n", descending=True)) == [(1, "10,9,9,2"), (2, None)]
+    with pytest.raises(ValueError):
+        aggregates.listagg(df, ["k"], "s", distinct=True, order_by="o")
     assert collect(aggregates.listagg_first(df, ["k"], "s", [c("o").asc()], 2, "_|_")) == [(1, "a_|_b"), (2, "1_|_a"), (3, "g_|_g")]
 
 

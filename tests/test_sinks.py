@@ -116,7 +116,9 @@ def test_bronze_layout_and_load_types(spark, scratch):
     landing.write_to_bronze(scratch, "orders", df.where("id = 1"), T2, "incremental", "rds")
     landing.write_to_bronze(scratch, "orders", df.where("id = 1"), T2, "incremental", "rds")
     out = extract.read_landed(spark, scratch, "orders")
-    assert out.count() == 3 and dict(out.dtypes)["updated_at"] == "timestamp" and dict(out.dtypes)["note_date"] == "string"
+    assert out.count() == 3 and dict(out.dtypes)["updated_at"] == "timestamp"
+    # one type in every batch: unreadable text is NULL with the text beside it
+    assert dict(out.dtypes)["note_date"] == "timestamp" and out.where("note_date is null and note_date_raw = 'x'").count() == 3 - out.where("id = 2").count()
     assert out.select("_ingestion_id").distinct().count() == 3
     assert out.where("id = 1").select("_record_hash").distinct().count() == 1
     landing.write_to_bronze(scratch, "orders", df.where("id = 2"), T2, "full", "rds")  # replaces the entity
@@ -192,3 +194,35 @@ def test_scratch_must_be_shared_on_a_cluster(monkeypatch):
         sparkContext, conf = Context(), Conf()
     with pytest.raises(RuntimeError):
         session.scratch_root(Cluster())
+
+
+def test_a_broken_write_leaves_the_old_rows(spark, scratch):
+    incremental.replace_files(spark.range(3).toDF("k"), scratch)
+    broken = spark.range(5).select(F.when(c("id") < 4, c("id")).otherwise(F.raise_error(F.lit("boom"))).alias("k"))
+    for write in (lambda: incremental.replace_files(broken, scratch), lambda: incremental.upsert(broken, scratch, ["k"]),
+                  lambda: control.ensure_checkpoints(spark, f"{scratch}-cp") and broken.write.mode("append").parquet(f"{scratch}-cp")):
+        with pytest.raises(Exception, match="boom"):
+            write()
+    assert collect(incremental.read_target(spark, scratch)) == [(0,), (1,), (2,)]
+    control.update_sync(spark, f"{scratch}-cp", "orders", T1, 5, T1)
+    assert control.get_last_sync(spark, f"{scratch}-cp", "orders") == T1
+    files.rename(spark, scratch, f"{scratch}__old")  # as if broken between the two renames
+    assert collect(incremental.read_target(spark, scratch)) == [(0,), (1,), (2,)]
+
+
+def test_staged_copies_are_deleted(spark, scratch):
+    from tidemark.session import scratch_root
+    before = set(files.subfolders(spark, scratch_root(spark)))
+    first = orders(spark, [(1, "new", D1, T1, "a"), (2, "new", D2, T1, "b")])
+    incremental.upsert(first, scratch, ["order_id"], ["day"])
+    incremental.upsert(first, scratch, ["order_id"], ["day"], version="_ingestion_ts")
+    landing.write_to_bronze(f"{scratch}-b", "orders", first, T1, "full", "rds")
+    left = set(files.subfolders(spark, scratch_root(spark))) - before
+    assert left == {x.rsplit("/", 1)[1] for x in (scratch, f"{scratch}-b")}
+
+
+def test_upsert_by_version_ignores_older_rows(spark, scratch):
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, v string, version int")
+    for batch in (rows((1, "b", 2), (2, "x", 1)), rows((1, "a", 1), (2, "y", 1)), rows((1, "c", 3))):
+        incremental.upsert(batch, scratch, ["k"], version="version")
+    assert collect(spark.read.parquet(scratch)) == [(1, "c", 3), (2, "y", 1)]

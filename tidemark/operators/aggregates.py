@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import quote_name
 from tidemark.operators.dedupe import first_per_key
 
 
@@ -27,17 +28,25 @@ def mode_per_key(df: DataFrame, keys: Sequence[str], value: str, latest: str) ->
         *keys, F.col("_best")["v"].alias(value), F.col("_best")["_n"].alias("uses"))
 
 
-def listagg(measure: Column, delimiter: str = ",", distinct: bool = False, order_by: Column | None = None) -> Column:
-    """Values of a group joined by a delimiter, NULLs left out; ordered by the value unless told otherwise.
+def listagg(df: DataFrame, keys: Sequence[str], measure: str, delimiter: str = ",", distinct: bool = False, order_by: str | None = None,
+            descending: bool = False, name: str = "joined") -> DataFrame:
+    """Values of each group joined by a delimiter, NULLs left out; ordered by the value unless told otherwise, NULL without any value.
 
-    The joined text holds the whole group by definition, so use it on keys of modest size; with a limit,
-    :func:`listagg_first` sends only the wanted rows.
+    Distinct values can only be ordered by themselves, and numbers are ordered as numbers. The joined text holds the whole group by
+    definition, so use it on keys of modest size; with a limit, :func:`listagg_first` sends only the wanted rows.
     """
-    if distinct:
-        return F.array_join(F.array_sort(F.collect_set(measure.cast("string"))), delimiter)
-    ordinal = measure if order_by is None else order_by
-    items = F.array_sort(F.collect_list(F.when(measure.isNotNull(), F.struct(ordinal.alias("o"), measure.cast("string").alias("v")))))
-    return F.array_join(F.transform(items, lambda x: x["v"]), delimiter)
+    if distinct and order_by not in (None, measure):
+        raise ValueError("distinct values can only be ordered by themselves")
+    if distinct:  # one row per value first: smaller groups, and any type may be ordered
+        df = df.where(F.col(quote_name(measure)).isNotNull()).select(*[quote_name(k) for k in keys], quote_name(measure)).distinct().unionByName(
+            df.select(*[quote_name(k) for k in keys]).distinct().withColumn(measure, F.lit(None).cast(df.schema[measure].dataType)))
+    direction = "DESC" if descending else "ASC"
+    value, ordinal = quote_name(measure), quote_name(order_by or measure)
+    text = f"CASE WHEN {value} IS NOT NULL THEN CAST({value} AS STRING) END"
+    # the delimiter must be a literal here
+    literal = delimiter.replace("\\", "\\\\").replace("'", "\\'")
+    joined = F.expr(f"listagg({text}, '{literal}') WITHIN GROUP (ORDER BY {ordinal} {direction} NULLS LAST, {value} {direction})")
+    return df.groupBy(*[quote_name(k) for k in keys]).agg(joined.alias(name))
 
 
 def listagg_first(df: DataFrame, keys: Sequence[str], measure: str, order_by: Sequence[Column], limit: int,

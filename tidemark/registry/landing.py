@@ -139,6 +139,23 @@ def _(lake):
     return landing.batch_event_date(lake.bronze("orders").select("order_id", "order_date", "created_at", "updated_at"))
 
 
+_ODD = """SELECT "payment-id" AS id, "payment-date" AS paid, CASE WHEN "payment-date" <> '10:00:00' THEN CAST("payment-date" AS TIMESTAMP) END AS paid_parsed, 'dated' AS kind, CAST(NULL AS VARCHAR) AS note FROM bronze_payments
+UNION ALL SELECT "payment-id", 'junk', NULL, 'junk', NULL FROM bronze_payments
+UNION ALL SELECT "payment-id", NULL, NULL, 'dateless', NULL FROM bronze_payments
+UNION ALL SELECT "payment-id", "payment-date", CASE WHEN "payment-date" <> '10:00:00' THEN CAST("payment-date" AS TIMESTAMP) END, 'wider', "payment-method" FROM bronze_payments"""
+
+
+@query("snk4_landing_of_odd_batches", _ODD)
+def _(lake):
+    """A clean batch, one with unreadable dates, one without dates and one with a column more, read back whole."""
+    root = scratch_path(lake.spark, "bronze")
+    rows = lake.bronze("payments").select(c("`payment-id`").alias("id"), c("`payment-date`").alias("payment_date"), c("`payment-method`").alias("note"))
+    batches = [("dated", rows.drop("note")), ("junk", rows.drop("note").withColumn("payment_date", F.lit("junk"))), ("dateless", rows.select("id")), ("wider", rows)]
+    for n, (kind, batch) in enumerate(batches):
+        landing.write_to_bronze(root, "payments", batch.withColumn("kind", F.lit(kind)), _INGESTED + datetime.timedelta(days=n), "incremental", "api")
+    return extract.read_landed(lake.spark, root, "payments").select("id", c("payment_date_raw").alias("paid"), c("payment_date").alias("paid_parsed"), "kind", "note")
+
+
 @query("snk4_write_to_bronze", """SELECT order_id, order_status, load_type, CASE load_type WHEN 'full' THEN DATE '2001-08-02' ELSE DATE '2001-08-03' END AS ingestion_date,
 max(CAST(updated_at AS DATE)) OVER (PARTITION BY load_type) AS event_date FROM bronze_orders""")
 def _(lake):
@@ -388,38 +405,42 @@ def _(lake):
 
 # -- streams -----------------------------------------------------------------------------------------
 
-def _stream(lake, name: str):
-    schema = lake.spark.read.parquet(lake.star.path(name)).schema
-    return streams.file_stream(lake.spark, lake.star.folder, schema, f"{name}.parquet")
+def _deliveries(lake, df, files: int, name: str):
+    """A file stream of ``df`` in files of mixed rows, each of them a micro-batch of its own."""
+    folder = scratch_path(lake.spark, name)
+    df.repartition(files, F.xxhash64(*df.columns)).write.parquet(folder)
+    return streams.file_stream(lake.spark, folder, df.schema, "*.parquet", files_per_batch=1)
 
 
-def _run(lake, stream, mode: str = "append"):
-    out, checkpoint = scratch_path(lake.spark, "stream"), scratch_path(lake.spark, "stream-checkpoint")
-    started = streams.available_now(stream, checkpoint, streams.append_to(out), mode)
-    started.awaitTermination()
-    return lake.spark.read.parquet(out).drop("batch")
+def _run(lake, stream, write) -> None:
+    checkpoint = scratch_path(lake.spark, "stream-checkpoint")
+    for _ in range(2):  # the second pass finds no new files
+        streams.available_now(stream, checkpoint, write).awaitTermination()
 
 
 @query("str1_stream_deduplicated", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
 def _(lake):
-    lines = _stream(lake, "lineitem").select("l_orderkey", "l_linenumber", c("l_shipdate").cast("timestamp").alias("shipped"))
-    return _run(lake, streams.deduplicated(lines, ["l_orderkey", "l_linenumber"], "shipped")).select("l_orderkey", "l_linenumber")
+    lines = lake.table("lineitem").select("l_orderkey", "l_linenumber", c("l_shipdate").cast("timestamp").alias("shipped"))
+    again = lines.where("l_linenumber < 3").withColumn("shipped", F.timestamp_add("DAY", F.lit(400), c("shipped")))  # every key of them twice
+    path = scratch_path(lake.spark, "stream")
+    _run(lake, _deliveries(lake, lines.unionAll(again), 4, "deliveries"), streams.new_keys_to(path, ["l_orderkey", "l_linenumber"]))
+    return lake.spark.read.parquet(path).select("l_orderkey", "l_linenumber")
 
 
 @query("str2_stream_daily_windows", """SELECT CAST(ts AS DATE) AS day, count(*) AS n_rows, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS amount
-FROM events GROUP BY 1 HAVING CAST(ts AS DATE) + 1 <= (SELECT max(ts) FROM events) - INTERVAL 7 DAY""")
+FROM events GROUP BY 1""")
 def _(lake):
-    events = _stream(lake, "events").select(c("ts").cast("timestamp").alias("ts"), c("value").cast("decimal(12,2)").alias("value"))
-    return _run(lake, streams.daily_windows(events, "ts", "value"))
+    events = lake.table("events").select("event_id", "ts", c("value").cast("decimal(12,2)").alias("value"))
+    path = scratch_path(lake.spark, "stream")
+    _run(lake, _deliveries(lake, events, 3, "deliveries"), streams.daily_parts_to(path, "ts", "value"))
+    return streams.daily_totals(lake.spark.read.parquet(path))
 
 
-@query("str3_stream_upsert", "SELECT o_orderkey, o_orderstatus FROM orders")
+@query("str3_stream_upsert", """SELECT order_id, order_status FROM bronze_orders
+QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY _ingestion_ts DESC, _record_hash DESC) = 1""")
 def _(lake):
-    path, checkpoint = scratch_path(lake.spark, "stream-orders"), scratch_path(lake.spark, "stream-checkpoint")
-    orders = _stream(lake, "orders").select("o_orderkey", "o_orderstatus")
-
-    def write(batch, _):
-        incremental.upsert(latest_per_key(batch, ["o_orderkey"], "o_orderstatus", None), path, ["o_orderkey"], ["o_orderstatus"])
-    for _ in range(2):  # the second pass finds no new files
-        streams.available_now(orders, checkpoint, write).awaitTermination()
-    return lake.spark.read.parquet(path).select("o_orderkey", "o_orderstatus")
+    path = scratch_path(lake.spark, "stream-orders")
+    version = F.concat_ws(" ", F.date_format("_ingestion_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "_record_hash")
+    versions = lake.bronze("orders").select("order_id", "order_status", version.alias("version"))
+    _run(lake, _deliveries(lake, versions, 3, "deliveries"), streams.latest_to(path, ["order_id"], "version", ["order_status"]))
+    return lake.spark.read.parquet(path).select("order_id", "order_status")

@@ -252,11 +252,19 @@ def _(lake):
 
 
 @query("ag12_listagg", """SELECT o_orderkey, listagg(l_linenumber, '_|_' ORDER BY l_linenumber) AS lines,
-listagg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS flags FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
-def _(lake):
-    lines = lake.table("lineitem").join(lake.table("orders").select("o_orderkey"), c("l_orderkey") == c("o_orderkey"))
-    return lines.groupBy("o_orderkey").agg(aggregates.listagg(c("l_linenumber"), "_|_").alias("lines"),
-                                           aggregates.listagg(c("l_returnflag"), ",", distinct=True).alias("flags"))
+listagg(l_partkey, ',' ORDER BY l_shipdate DESC, l_partkey DESC) AS newest_first, listagg(DISTINCT l_quantity, '; ' ORDER BY l_quantity) AS quantities,
+listagg(DISTINCT l_linenumber, '' ORDER BY l_linenumber DESC) AS last_first, listagg(CASE WHEN l_returnflag = 'R' THEN l_linenumber END, ',' ORDER BY l_linenumber) AS returned
+FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, l_returnflag, CAST(l_quantity AS INTEGER) AS l_quantity FROM lineitem) JOIN orders ON o_orderkey = l_orderkey GROUP BY 1""")
+def _(lake):
+    lines = lake.table("lineitem").join(lake.table("orders").select("o_orderkey"), c("l_orderkey") == c("o_orderkey")).select(
+        "o_orderkey", "l_linenumber", "l_partkey", "l_shipdate", c("l_quantity").cast("int").alias("l_quantity"),
+        F.when(c("l_returnflag") == "R", c("l_linenumber")).alias("returned_line"))  # NULL throughout for many orders
+    parts = [aggregates.listagg(lines, ["o_orderkey"], "l_linenumber", "_|_", name="lines"),
+             aggregates.listagg(lines, ["o_orderkey"], "l_partkey", order_by="l_shipdate", descending=True, name="newest_first"),
+             aggregates.listagg(lines, ["o_orderkey"], "l_quantity", "; ", distinct=True, name="quantities"),
+             aggregates.listagg(lines, ["o_orderkey"], "l_linenumber", "", distinct=True, descending=True, name="last_first"),
+             aggregates.listagg(lines, ["o_orderkey"], "returned_line", name="returned")]
+    return reduce(lambda x, y: x.join(y, "o_orderkey"), parts)
 
 
 @query("ag12_listagg_limited", """SELECT user_id, listagg(event_type, ', ' ORDER BY ts, event_id) AS first_events

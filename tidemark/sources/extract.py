@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from tidemark.functions.timestamps import parse_any
 from tidemark.operators.filters import INITIAL
-from tidemark.session import scratch_path  # noqa: F401  (re-exported for callers that stage extracts)
 from tidemark.sinks import files
 
 # The columns of each extract and the column its increment is read by.
@@ -128,9 +127,13 @@ def unwrap_envelope(df: DataFrame, column: str, entity: str, record: str) -> Dat
 
 def read_landed(spark: SparkSession, root: str, entity: str) -> DataFrame:
     """All landed folders of an entity as one table; marker, manifest and temporary files are left out."""
+    from tidemark.sinks.landing import MISFITS, declared
     base = f"{root}/{entity}"
-    return (spark.read.option("basePath", base).option("pathGlobFilter", "*.parquet")
-            .parquet(f"{base}/ingestion_date=*"))
+    reader = spark.read.option("basePath", base).option("pathGlobFilter", "*.parquet")
+    schema = declared(spark, root, entity)
+    # without a declared schema (files of another writer) the footers tell
+    reader = reader.schema(schema.add(MISFITS, "string")) if schema else reader.option("mergeSchema", True)
+    return reader.parquet(f"{base}/ingestion_date=*")
 
 
 def register_landed(spark: SparkSession, root: str, entity: str, name: str, seen: set[str] | frozenset[str] = frozenset()) -> list[str]:
