@@ -101,31 +101,32 @@ def generate_series(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(1, n + 1).withColumnRenamed("id", "generated_number")
 
 
-def series_per_row(df: DataFrame, upper: Column, name: str = "generated_number") -> DataFrame:
-    """Each row repeated for 1..upper; rows with upper below 1 drop out."""
-    return df.where(upper >= 1).withColumn(name, F.explode(F.sequence(F.lit(1).cast("bigint"), upper.cast("bigint"))))
+REPEAT_CHUNK = 100_000
 
 
-REPEAT_CHUNK = 100_000
+def series_per_row(df: DataFrame, upper: Column, name: str = "generated_number", chunk: int = REPEAT_CHUNK) -> DataFrame:
+    """Each row repeated for 1..upper; rows with upper below 1 drop out.
+
+    A large count is cut into chunks that are spread over the tasks, so one row never fills a task by itself.
+    """
+    first, here = F.col("_chunk") * chunk + 1, F.least((F.col("_chunk") + 1) * chunk, F.col("_times"))
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("_times") / chunk) - 1)
+    spread = (df.withColumn("_times", upper.cast("bigint")).where("_times > 0")
+              .withColumn("_chunk", F.explode(chunks)).repartition(F.xxhash64(*[F.col(quote_name(c)) for c in df.columns], "_chunk")))
+    return spread.withColumn(name, F.explode(F.sequence(first, here))).drop("_times", "_chunk")
 
 
 def repeat_rows(df: DataFrame, times: Column, chunk: int = REPEAT_CHUNK) -> DataFrame:
-    """Each row repeated ``times`` times. A large count is cut into chunks that are spread over the tasks, so
-    one row never fills a task by itself."""
-    chunks = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("_times") / chunk) - 1)
-    here = F.least(F.lit(chunk).cast("bigint"), F.col("_times") - F.col("_chunk") * chunk)
-    spread = (df.withColumn("_times", times.cast("bigint")).where("_times > 0")
-              .withColumn("_chunk", F.explode(chunks)).withColumn("_here", here)
-              .repartition(F.xxhash64(*[F.col(quote_name(c)) for c in df.columns], "_chunk")))
-    return (spread.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_here"))))
-            .select(*[F.col(quote_name(c)) for c in df.columns]))
+    """Each row repeated ``times`` times."""
+    return series_per_row(df, times, "_i", chunk).drop("_i")
 
 
 # The date parts a spine may step by.
 SPINE_PARTS = ["second", "minute", "hour", "day", "week", "month", "quarter", "year"]
 
 
-def date_spine(bounds: DataFrame, datepart: str, start: Column, end: Column, name: str | None = None) -> DataFrame:
+def date_spine(bounds: DataFrame, datepart: str, start: Column, end: Column, name: str | None = None,
+               chunk: int = REPEAT_CHUNK) -> DataFrame:
     """One row per part from ``start`` up to but not including ``end``.
 
     ``bounds`` is a one-row frame (or one row per group) that ``start`` and ``end`` refer to.
@@ -134,10 +135,12 @@ def date_spine(bounds: DataFrame, datepart: str, start: Column, end: Column, nam
         raise ValueError(f"unknown date part {datepart!r}")
     name = name or f"date_{datepart}"
     begin, stop = start.cast("timestamp"), end.cast("timestamp")
-    count = 3 if datepart == "quarter" else 1
-    step = f"INTERVAL {count} {'month' if datepart == 'quarter' else datepart}"
-    steps = F.sequence(begin, stop, F.expr(step))
-    return bounds.where(begin < stop).withColumn(name, F.explode(steps)).where(F.col(name) < stop)
+    spans = bounds.withColumns({"_begin": begin, "_stop": stop}).where("_begin < _stop")
+    unit = datepart.upper()
+    # whole parts that fit, and one more that may begin before the end; their number is spread over the tasks
+    counted = series_per_row(spans, F.timestamp_diff(unit, F.col("_begin"), F.col("_stop")) + 1, "_nth", chunk)
+    at = F.timestamp_add(unit, (F.col("_nth") - 1).cast("int"), F.col("_begin"))
+    return counted.withColumn(name, at).where(F.col(name) < F.col("_stop")).drop("_begin", "_stop", "_nth")
 
 
 def tables_like(spark: SparkSession, database: str, pattern: str, exclude: str = "") -> list[str]:

@@ -4,12 +4,15 @@ result back, so that the comparison covers the files."""
 from __future__ import annotations
 
 import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.timestamps import aware
+from tidemark.functions.timestamps import aware, utc
 from tidemark.operators import checks, joins
 from tidemark.operators.dedupe import latest_per_key
+from tidemark.operators.filters import newest
 from tidemark.plans import refresh, silver
 from tidemark.registry.core import BODIES, as_of, query
 from tidemark.registry.layers import staging
@@ -32,12 +35,25 @@ def _(lake):
     return lake.table("orders")
 
 
-_CUSTOMER_COLUMNS = ", ".join(extract.EXTRACTS["customers"][1])
+_SINCE = {"customers": "1998-03-01", "orders": "1998-03-01", "products": "1996-01-01"}
 
 
-@query("src2_extract_since", f"SELECT {_CUSTOMER_COLUMNS} FROM bronze_customers WHERE updated_at >= TIMESTAMP '1998-03-01'")
+@query("src2_extract_since", " UNION ALL ".join(
+    f"SELECT '{e}' AS entity, md5(concat_ws('|', {', '.join(f'CAST({n} AS VARCHAR)' for n in extract.EXTRACTS[e][1] if n in keys)})) AS row_hash, {keys[0]} AS id FROM bronze_{e} "
+    f"WHERE {extract.EXTRACTS[e][0]} >= TIMESTAMP '{_SINCE[e]}'"
+    for e, keys in {"customers": ["customer_id", "email", "country", "city", "customer_segment"], "orders": ["order_id", "customer_id", "order_status", "payment_method"],
+                    "products": ["product_id", "product_name", "category", "brand"]}.items()))
 def _(lake):
-    return extract.extract(lake.bronze("customers"), "customers", _ts("1998-03-01"))
+    """All three entities of the database."""
+    keys = {"customers": ["customer_id", "email", "country", "city", "customer_segment"], "orders": ["order_id", "customer_id", "order_status", "payment_method"],
+            "products": ["product_id", "product_name", "category", "brand"]}
+
+    def part(e):
+        rows = extract.extract(lake.bronze(e), e, _ts(_SINCE[e]))
+        assert rows.columns == extract.EXTRACTS[e][1]
+        kept = [n for n in extract.EXTRACTS[e][1] if n in keys[e]]
+        return rows.select(F.lit(e).alias("entity"), F.md5(F.concat_ws("|", *[c(n).cast("string") for n in kept])).alias("row_hash"), c(keys[e][0]).alias("id"))
+    return reduce(DataFrame.unionAll, [part(e) for e in keys])
 
 
 @query("src3_read_date_partitions", "SELECT event_id, user_id, CAST(ts AS DATE) AS date FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'")
@@ -116,14 +132,19 @@ def _(lake):
 # -- sinks -------------------------------------------------------------------------------------------
 
 _INGESTED = datetime.datetime(2001, 8, 2, 6, 0, 0)
-_RECORDS = ["order_id", "customer_id", "order_status", "payment_method"]
+_RECORDS = ["customer_id", "date_of_birth", "email", "first_name", "gender", "last_name", "phone", "city", "country", "customer_segment", "address", "postal_code", "state"]
+
+
+def _json_sql(columns) -> str:
+    return "CAST(to_json({" + ", ".join(f"'{n}': {n}" for n in sorted(columns)) + "}) AS VARCHAR)"
 
 
-@query("snk1_bronze_metadata", """SELECT order_id, customer_id, order_status, payment_method, TIMESTAMP '2001-08-02 06:00:00' AS _ingestion_ts, 'rds' AS _source_system,
-md5(CAST(to_json({'customer_id': customer_id, 'order_id': order_id, 'order_status': order_status, 'payment_method': payment_method}) AS VARCHAR)) AS _record_hash
-FROM bronze_orders""")
+@query("snk1_bronze_metadata", f"""SELECT * EXCLUDE (date_text) REPLACE (CAST(date_text AS DATE) AS date_of_birth), TIMESTAMP '2001-08-02 06:00:00' AS _ingestion_ts, 'rds' AS _source_system,
+md5({_json_sql(_RECORDS)}) AS _record_hash FROM (SELECT * REPLACE (strftime(date_of_birth, '%Y-%m-%d') AS date_of_birth), strftime(date_of_birth, '%Y-%m-%d') AS date_text
+FROM (SELECT {', '.join(_RECORDS)} FROM bronze_customers))""")
 def _(lake):
-    return landing.add_bronze_metadata(lake.bronze("orders").select(*_RECORDS), _INGESTED, "rds").drop("_ingestion_id")
+    """The hash covers every text, number and date of a customer."""
+    return landing.add_bronze_metadata(lake.bronze("customers").select(*_RECORDS), _INGESTED, "rds").drop("_ingestion_id")
 
 
 @query("snk2_coerce_timestamps", """SELECT "payment-id" AS payment_id, "payment-date" AS payment_date, CAST("created-at" AS TIMESTAMP) AS created_at,
@@ -134,9 +155,16 @@ def _(lake):
                                                 ("payment-id", "payment-date", "created-at", "updated-at")]))
 
 
-@query("snk3_batch_event_date", "SELECT CAST(max(updated_at) AS DATE) AS event_date FROM bronze_orders")
+@query("snk3_batch_event_date", """SELECT 'orders' AS entity, CAST(max(updated_at) AS DATE) AS event_date FROM bronze_orders
+UNION ALL SELECT 'events', NULL UNION ALL SELECT 'unshipped', CAST(max(order_date) AS DATE) FROM bronze_orders
+UNION ALL SELECT 'shipments', CAST(max(CAST("shipment-date" AS TIMESTAMP)) AS DATE) FROM bronze_shipments""")
 def _(lake):
-    return landing.batch_event_date(lake.bronze("orders").select("order_id", "order_date", "created_at", "updated_at"))
+    """The first listed column that holds a date decides; without one there is none."""
+    orders = lake.bronze("orders").select("order_id", "order_date", "created_at", "updated_at")
+    blank = orders.select("order_id", "order_date", *[F.lit(None).cast("timestamp").alias(n) for n in ("created_at", "updated_at")])
+    shipments = lake.bronze("shipments").select(c("`shipment-date`").alias("shipment_date"))
+    batches = {"orders": orders, "events": lake.table("events").select("event_id"), "unshipped": blank, "shipments": shipments}
+    return reduce(DataFrame.unionAll, [landing.batch_event_date(df).select(F.lit(n).alias("entity"), "event_date") for n, df in batches.items()])
 
 
 _ODD = """SELECT "payment-id" AS id, "payment-date" AS paid, CASE WHEN "payment-date" <> '10:00:00' THEN CAST("payment-date" AS TIMESTAMP) END AS paid_parsed, 'dated' AS kind, CAST(NULL AS VARCHAR) AS note FROM bronze_payments
@@ -263,19 +291,24 @@ def _(lake):
 @query("snk13_export_and_reload", """SELECT 'orders' AS table_name, count(*) AS n_rows, (SELECT count(*) FROM (SELECT order_id FROM stg_orders GROUP BY 1 HAVING count(*) > 1)) AS duplicate_keys,
 (SELECT count(*) FROM stg_orders WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM stg_customers)) AS orphans FROM stg_orders
 UNION ALL SELECT 'order_items', count(*), (SELECT count(*) FROM (SELECT order_item_id FROM bronze_order_items GROUP BY 1 HAVING count(*) > 1)),
-(SELECT count(*) FROM bronze_order_items WHERE order_id NOT IN (SELECT order_id FROM stg_orders)) FROM bronze_order_items""")
+(SELECT count(*) FROM bronze_order_items WHERE order_id NOT IN (SELECT order_id FROM stg_orders)) FROM bronze_order_items
+UNION ALL SELECT 'items_by_product', count(*), (SELECT count(*) FROM (SELECT order_item_id FROM bronze_order_items GROUP BY 1 HAVING count(*) > 1)),
+(SELECT count(*) FROM bronze_order_items WHERE product_id NOT IN (SELECT product_id FROM stg_products)) FROM bronze_order_items""")
 def _(lake):
     root = scratch_path(lake.spark, "export")
     paths = incremental.export_tables({"customers": staging(lake, "customers"), "orders": staging(lake, "orders"),
-                                       "order_items": lake.bronze("order_items")}, root)
+                                       "order_items": lake.bronze("order_items"), "products": staging(lake, "products")}, root)
     t = incremental.reload_tables(lake.spark, paths)
 
+    t["items_by_product"] = t["order_items"]
+
     def report(name, key, column, parent):
         counts = (t[name].agg(F.count(F.lit(1)).alias("n_rows")).withColumns({"duplicate_keys": F.lit(0), "orphans": F.lit(0)})
                   .unionAll(checks.unique(t[name], key).agg(F.count(F.lit(1)).alias("d")).select(F.lit(0), "d", F.lit(0)))
                   .unionAll(checks.orphan_count(t[name], column, t[parent], column).select(F.lit(0), F.lit(0), "failures")))
         return counts.agg(*[F.sum(x).cast("bigint").alias(x) for x in counts.columns]).select(F.lit(name).alias("table_name"), "*")
-    return report("orders", "order_id", "customer_id", "customers").unionAll(report("order_items", "order_item_id", "order_id", "orders"))
+    return report("orders", "order_id", "customer_id", "customers").unionAll(
+        report("order_items", "order_item_id", "order_id", "orders")).unionAll(report("items_by_product", "order_item_id", "product_id", "products"))
 
 
 @query("snk14_checkpoints", """SELECT entity, last_sync_timestamp, record_count FROM (
@@ -284,8 +317,8 @@ UNION ALL SELECT 'orders', max(updated_at), count(*) FROM bronze_orders UNION AL
 def _(lake):
     path = scratch_path(lake.spark, "checkpoints")
     for entity in ("orders", "customers", "orders"):  # the second sync of an entity replaces the first
-        seen = lake.bronze(entity).agg(F.max("updated_at").alias("t"), F.count(F.lit(1)).alias("n")).first()
-        control.update_sync(lake.spark, path, entity, seen["t"], seen["n"], _INGESTED)
+        rows = lake.bronze(entity)
+        control.update_sync(lake.spark, path, entity, utc(newest(rows, "updated_at")), rows.count(), _INGESTED)
     stored = control.ensure_checkpoints(lake.spark, path).select("entity", "last_sync_timestamp", "record_count")
     missing = control.get_last_sync(lake.spark, path, "products")
     never = stored.limit(0).agg(F.lit("products").alias("entity"), F.lit(aware(missing)).alias("last_sync_timestamp"),
@@ -386,21 +419,44 @@ for _name, _query in _FULL.items():
         lambda lake, name=_name, columns=_columns: _after_three_batches(lake)[name].selectExpr(*columns.split(", ")))
 
 
-@query("run2_ingest_entities", """SELECT 'orders' AS entity, 'full' AS load_type, count(*) AS n_rows FROM bronze_orders
-UNION ALL SELECT 'orders', 'incremental', count(*) FROM bronze_orders WHERE updated_at >= TIMESTAMP '2001-01-01' HAVING count(*) > 0
-UNION ALL SELECT 'customers', 'full', count(*) FROM bronze_customers
-UNION ALL SELECT 'customers', 'incremental', count(*) FROM bronze_customers WHERE updated_at >= TIMESTAMP '2001-01-01' HAVING count(*) > 0""")
-def _(lake):
-    bronze, checkpoints = scratch_path(lake.spark, "bronze"), scratch_path(lake.spark, "checkpoints")
-
-    def reader(entity):
-        return lambda since: extract.extract(lake.bronze(entity), entity, F.lit(aware(since)))
-    readers = {e: reader(e) for e in ("customers", "orders")}
-    for started in (datetime.datetime(2001, 1, 1), datetime.datetime(2001, 8, 2)):
-        ingest.ingest(lake.spark, readers, bronze, checkpoints, started)
-    landed = [extract.read_landed(lake.spark, bronze, e).groupBy("load_type").agg(F.count(F.lit(1)).alias("n_rows"))
-              .select(F.lit(e).alias("entity"), "load_type", "n_rows") for e in readers]
-    return landed[0].unionAll(landed[1])
+_PULLED = """SELECT '{0}', 'full', count(DISTINCT id) FROM (SELECT {1} AS id FROM bronze_{0} WHERE CAST(CAST({2} AS TIMESTAMP) AS DATE) <= DATE '1997-01-01')
+UNION ALL SELECT '{0}', 'incremental', count(DISTINCT id) FROM (SELECT {1} AS id FROM bronze_{0} WHERE CAST(CAST({2} AS TIMESTAMP) AS DATE) BETWEEN DATE '1997-01-01' AND DATE '2001-08-02') HAVING count(*) > 0"""
+_KEPT = """SELECT '{0}', 'full', count(DISTINCT {1}) FROM bronze_{0}
+UNION ALL SELECT '{0}', 'incremental', count(DISTINCT {1}) FROM bronze_{0} WHERE {2} >= TIMESTAMP '1997-01-01' HAVING count(*) > 0"""
+_API = {"payments": ("payment-id", "`payment-id` BIGINT, `order-id` BIGINT, `amount` DOUBLE, `payment-status` STRING, `updated-at` STRING"),
+        "shipments": ("tracking_number", "tracking_number BIGINT, order_id BIGINT, status STRING, `updated-at` STRING")}
+
+
+@query("run2_ingest_entities", "SELECT entity, load_type, n_rows, 'success' AS status FROM (SELECT NULL AS entity, NULL AS load_type, NULL AS n_rows WHERE false UNION ALL " + " UNION ALL ".join(
+    [_KEPT.format(e, k, t) for e, k, t in (("customers", "customer_id", "updated_at"), ("orders", "order_id", "updated_at"), ("products", "product_id", "created_at"))]
+    + [_PULLED.format("payments", '"payment-id"', '"updated-at"'), _PULLED.format("shipments", "tracking_number", '"updated-at"')]) + ")")
+def _(lake):
+    """Two runs over all five entities, three read from the database and two pulled as API replies, with run log and load window."""
+    spark = lake.spark
+    bronze, checkpoints, runs = (scratch_path(spark, n) for n in ("bronze", "checkpoints", "runs"))
+
+    def replies(entity, record):
+        """What the API answers for a window: one reply per row, in the envelope of the service."""
+        columns = [x.split()[0] for x in record.split(", ")]
+        rows = lake.bronze(entity).select(*[c(n) for n in columns]).withColumn("at", c("`updated-at`").cast("timestamp"))
+        one = F.struct(*[c(n) for n in columns])
+        return rows.select("at", F.to_json(F.struct(F.array(one).alias(entity), F.lit(False).alias("has_more"))).alias("reply"))
+
+    def pulled(entity, record, end):
+        return lambda since: extract.read_api(lambda start, stop: extract.pull_in_chunks(replies(entity, record), "at", start, stop).select("chunk", "reply"),
+                                              entity, record, F.lit(aware(max(since, datetime.datetime(1990, 1, 1)))), F.lit(aware(end)))
+    for n, started in enumerate((datetime.datetime(1997, 1, 1), datetime.datetime(2001, 8, 2))):
+        readers = {e: lambda since, e=e: extract.extract(lake.bronze(e), e, F.lit(aware(since))) for e in ("customers", "orders", "products")}
+        readers |= {e: pulled(e, record, started) for e, (_, record) in _API.items()}
+        window = control.load_window(control.last_run_date(control.read_runs(spark, runs)), lake.bronze("orders").agg(F.max(F.lit(None).cast("date")).alias("d")),
+                                     F.lit(started.date()), F.lit("1990-01-01").cast("date")).first()
+        assert window["mode"] == ("ongoing" if n else "initial")
+        ingest.ingest(spark, readers, bronze, checkpoints, started, run_log=runs)
+    ids = {"customers": "customer_id", "orders": "order_id", "products": "product_id", **{e: k for e, (k, _) in _API.items()}}
+    status = control.read_runs(spark, runs).agg(F.max_by("status", "run_date").alias("status"))
+    landed = [extract.read_landed(spark, bronze, e).groupBy("load_type").agg(F.count_distinct(c(f"`{k}`")).alias("n_rows"))
+              .select(F.lit(e).alias("entity"), "load_type", "n_rows") for e, k in ids.items()]
+    return reduce(DataFrame.unionAll, landed).join(status)
 
 
 # -- streams -----------------------------------------------------------------------------------------

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import checks
@@ -63,15 +66,32 @@ def _(lake):
                                  where="l_returnflag = 'R'").select("l_orderkey", "l_linenumber", "l_quantity")
 
 
-@query("dq8_at_least_one", "SELECT count(CASE WHEN event_type = 'refund' THEN value END) AS filled FROM events HAVING count(CASE WHEN event_type = 'refund' THEN value END) = 0")
+def _tagged(checked) -> DataFrame:
+    """The failures of several columns with the column's name."""
+    return reduce(DataFrame.unionAll, [found.select(F.lit(name).alias("column_name"), "*") for name, found in checked])
+
+
+_KINDS = ["click", "error", "refund", "signup"]
+
+
+@query("dq8_at_least_one", " UNION ALL ".join(
+    f"SELECT '{k}' AS column_name, count(CASE WHEN event_type = '{k}' THEN value END) AS filled FROM events HAVING count(CASE WHEN event_type = '{k}' THEN value END) = 0"
+    for k in _KINDS))
 def _(lake):
-    e = lake.table("events").withColumn("refund", F.when(c("event_type") == "refund", c("value")))
-    return checks.at_least_one(e, "refund")
+    """Some kinds occur, others do not."""
+    e = lake.table("events").withColumns({k: F.when(c("event_type") == k, c("value")) for k in _KINDS})
+    return _tagged([(k, checks.at_least_one(e, k)) for k in _KINDS])
+
+
+_MAYBE_CONSTANT = ["_source_system", "payment-method", "load_type", "card-brand"]
 
 
-@query("dq9_not_constant", "SELECT count(DISTINCT _source_system) AS distinct_values FROM bronze_payments HAVING count(DISTINCT _source_system) = 1")
+@query("dq9_not_constant", " UNION ALL ".join(
+    f"""SELECT '{n}' AS column_name, count(DISTINCT "{n}") AS distinct_values FROM bronze_payments HAVING count(DISTINCT "{n}") = 1""" for n in _MAYBE_CONSTANT))
 def _(lake):
-    return checks.not_constant(lake.bronze("payments"), "_source_system")
+    """One column is the same throughout, the others are not."""
+    p = lake.bronze("payments")
+    return _tagged([(n, checks.not_constant(p, n)) for n in _MAYBE_CONSTANT])
 
 
 @query("dq10_not_null_proportion", "SELECT avg(CASE WHEN email IS NULL THEN 0.0 ELSE 1 END) AS not_null_proportion FROM stg_customers HAVING NOT (avg(CASE WHEN email IS NULL THEN 0.0 ELSE 1 END) BETWEEN 0.95 AND 1)")

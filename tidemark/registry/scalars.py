@@ -133,11 +133,13 @@ def _(lake):
                                                        for p in ("month", "quarter", "year")])
 
 
-@query("sc15_current_timestamp", "SELECT o_orderkey, true AS in_the_past, true AS same_instant FROM orders")
+@query("sc15_current_timestamp", """SELECT o_orderkey, date_diff('day', o_orderdate, current_timestamp::TIMESTAMP) // 7 AS weeks_ago,
+o_orderdate + INTERVAL 25 YEAR < current_timestamp::TIMESTAMP AS long_ago, o_orderdate + INTERVAL 9000 DAY > current_timestamp::TIMESTAMP - INTERVAL 1 DAY AS ahead FROM orders""")
 def _(lake):
-    now = timestamps.current_timestamp_utc()
-    return lake.table("orders").select("o_orderkey", (c("o_orderdate") < now).alias("in_the_past"),
-                                       (now == F.current_timestamp()).alias("same_instant"))  # sessions run in UTC
+    now, at = timestamps.current_timestamp_utc(), c("o_orderdate")
+    return lake.table("orders").select("o_orderkey", F.floor(F.datediff(F.to_date(now), F.to_date(at)) / 7).alias("weeks_ago"),
+                                       (F.timestamp_add("YEAR", F.lit(25), at) < now).alias("long_ago"),
+                                       (F.timestamp_add("DAY", F.lit(9000), at) > F.timestamp_add("DAY", F.lit(-1), now)).alias("ahead"))
 
 
 @query("sc16_hash", "SELECT p_partkey, md5(p_name) AS name_hash, md5(CAST(p_partkey AS VARCHAR)) AS key_hash FROM part")

@@ -64,6 +64,11 @@ def write_run_log(spark: SparkSession, path: str, processed: date, status: str,
     append_runs(spark.createDataFrame([(at, processed, status, records or {}, error)], RUN_SCHEMA), path)
 
 
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The run log, empty before the first run."""
+    return spark.read.schema(RUN_SCHEMA).parquet(path) if files.exists(spark, path) else spark.createDataFrame([], RUN_SCHEMA)
+
+
 def last_run_date(runs: DataFrame) -> DataFrame:
     """One row: the last processed date of the newest successful run, NULL without one."""
     done = runs.where("status = 'success' and last_processed_date is not null")

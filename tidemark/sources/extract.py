@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -125,6 +126,15 @@ def unwrap_envelope(df: DataFrame, column: str, entity: str, record: str) -> Dat
     return rows.select(*[F.col(c) for c in df.columns if c != column], "_record.*")
 
 
+def read_api(fetch: Callable[[Column, Column], DataFrame], entity: str, record: str, since: Column, until: Column) -> DataFrame:
+    """Records of an API changed from ``since`` to ``until``.
+
+    ``fetch(start, end)`` gives the replies of a window as JSON text in ``reply``, chunk by chunk; how they are fetched is its
+    business. A row of a border day comes twice and is deduplicated later, like any repeated delivery.
+    """
+    return unwrap_envelope(fetch(since, until).select("reply"), "reply", entity, record)
+
+
 def read_landed(spark: SparkSession, root: str, entity: str) -> DataFrame:
     """All landed folders of an entity as one table; marker, manifest and temporary files are left out."""
     from tidemark.sinks.landing import MISFITS, declared
