@@ -71,3 +71,13 @@ def test_plan_does_not_depend_on_size(spark, name):
         full = QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
         return len(re.findall(r"Exchange (?:hash|range|single|RoundRobin)", full)) + full.count("BroadcastExchange"), text.count("Join")
     assert exchanges(FOLDER) == exchanges("/root/testdata/sf0.1")
+
+
+def test_suite_groups_each_table_once(spark):
+    from tidemark.operators import checks
+    text = plan(spark, "dq21_declared_suite")
+    tables = len(checks.KEYS)
+    relations = sum(c.failing is not None for c in checks.declared_suite())
+    # per table a grouping and the count over it, each in two halves; a relation groups its child and its parent and counts
+    assert text.count("HashAggregate") + text.count("SortAggregate") <= 4 * tables + 8 * relations
+    assert text.count("Scan parquet") <= tables + 2 * relations

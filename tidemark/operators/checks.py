@@ -220,15 +220,45 @@ def not_empty_string(df: DataFrame, column: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
-    """One declared check: either a row condition (all those of a table share one scan) or a frame of failing rows."""
+    """One declared check of a table: a row condition, a column that must be unique, a column with its accepted values, or a
+    frame of failing rows. All but the last share one pass over the table."""
 
     model: str
     name: str
     broken: Column | None = None
+    key: str | None = None
+    accepted: tuple[str, Sequence] | None = None
     failing: Callable[[dict[str, DataFrame]], DataFrame] | None = None
     severity: str = "error"
 
 
+def _in_one_pass(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row with the failures ``c0``, ``c1``, ... of the checks.
+
+    The table is grouped once, by every unique column and every column with accepted values, each a grouping set of its own; the row
+    conditions are counted along with the first. A second aggregation over the groups counts the failures.
+    """
+    columns = list(dict.fromkeys([c.key or c.accepted[0] for c in checks if c.broken is None]))
+    counts = [F.count_if(c.broken).alias(f"n{i}") for i, c in enumerate(checks) if c.broken is not None]
+    if not columns:
+        return df.agg(*counts).withColumnsRenamed({f"n{i}": f"c{i}" for i in range(len(checks))})
+    by = [_col(c) for c in columns]
+    grouped = df.groupingSets([[c] for c in by], *by).agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"), *counts)
+
+    def own(column: str) -> Column:
+        """The groups of a column: only its bit is clear in the grouping id."""
+        return F.col("_set") == (1 << len(columns)) - 1 - (1 << (len(columns) - 1 - columns.index(column)))
+
+    def failures(i: int, c: Check) -> Column:
+        if c.broken is not None:
+            return F.coalesce(F.sum(F.when(own(columns[0]), F.col(f"n{i}"))), F.lit(0))
+        if c.key:
+            return F.count_if(own(c.key) & _col(c.key).isNotNull() & (F.col("_n") > 1))
+        column, values = c.accepted
+        return F.count_if(own(column) & ~_col(column).isin(list(values)))
+    return grouped.agg(*[failures(i, c).alias(f"c{i}") for i, c in enumerate(checks)])
+
+
 def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: model, test, failures, severity, status.
 
@@ -236,11 +266,11 @@ def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFra
     """
     parts = []
     for model in dict.fromkeys(c.model for c in checks):
-        rows = [c for c in checks if c.model == model and c.broken is not None]
-        if rows:
-            counts = tables[model].agg(*[F.count_if(c.broken).alias(f"c{i}") for i, c in enumerate(rows)])
-            listed = F.array(*[F.struct(F.lit(c.name).alias("test"), F.col(f"c{i}").alias("failures"),
-                                        F.lit(c.severity).alias("severity")) for i, c in enumerate(rows)])
+        shared = [c for c in checks if c.model == model and c.failing is None]
+        if shared:
+            counts = _in_one_pass(tables[model], shared)
+            listed = F.array(*[F.struct(F.lit(c.name).alias("test"), F.col(f"c{i}").cast("bigint").alias("failures"),
+                                        F.lit(c.severity).alias("severity")) for i, c in enumerate(shared)])
             parts.append(counts.select(F.inline(listed)).select(F.lit(model).alias("model"), "*"))
         for c in checks:
             if c.model == model and c.failing is not None:
@@ -274,7 +304,7 @@ def declared_suite() -> list[Check]:
         return Check(model, f"not_null_{column}", broken=F.col(column).isNull())
 
     def listed(model: str, column: str, values: list[str]) -> Check:
-        return Check(model, f"accepted_values_{column}", failing=lambda t: accepted_values(t[model], column, values))
+        return Check(model, f"accepted_values_{column}", accepted=(column, values))
 
     def belongs(model: str, column: str, parent: str) -> Check:
         return Check(model, f"relationships_{column}", failing=lambda t: orphan_count(t[model], column, t[parent], column))
@@ -282,7 +312,7 @@ def declared_suite() -> list[Check]:
     suite = []
     for model, key in KEYS.items():
         suite.append(required(model, key))
-        suite.append(Check(model, f"unique_{key}", failing=lambda t, m=model, k=key: unique(t[m], k)))
+        suite.append(Check(model, f"unique_{key}", key=key))
     suite += [
         required("stg_customers", "email"),
         required("stg_orders", "customer_id"),
