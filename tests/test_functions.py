@@ -137,3 +137,18 @@ def test_arrays(spark):
                     arrays.array_to_text(arrays.array_concat(pair, arrays.array_construct([F.lit(4)]))).alias("z"),
                     arrays.array_to_text(arrays.array_construct([])).alias("e")).first()
     assert (out["x"], out["y"], out["z"], out["e"]) == ("[1,2]", "[1,2,3]", "[1,2,4]", "[]")
+
+
+def test_jdbc_options_push_columns_and_increment_down():
+    import datetime as dt
+
+    from tidemark.sources.extract import EXTRACTS, jdbc_options
+    ny = dt.timezone(dt.timedelta(hours=-5))
+    options = jdbc_options("orders", "jdbc:x", dt.datetime(2024, 1, 1, 7, tzinfo=ny), (1, 900), 8, "shop")
+    assert options["dbtable"].startswith("(SELECT order_id, ") and options["dbtable"].endswith(
+        "FROM shop.orders WHERE updated_at >= TIMESTAMP '2024-01-01 12:00:00.000000') AS increment")
+    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("order_id", "1", "900", "8")
+    whole = jdbc_options("products", "jdbc:x")
+    assert "WHERE" not in whole["dbtable"] and "numPartitions" not in whole and all(c in whole["dbtable"] for c in EXTRACTS["products"][1])
+    with pytest.raises(ValueError):
+        jdbc_options("payments", "jdbc:x")

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.timestamps import parse_any
+from tidemark.functions.timestamps import aware, parse_any
 from tidemark.operators.filters import INITIAL
 from tidemark.sinks import files
 
@@ -26,6 +26,7 @@ EXTRACTS: dict[str, tuple[str, list[str]]] = {
                               "payment_method", "payment_id", "shipping_carrier", "tracking_number",
                               "customer_segment_at_order"]),
 }
+FETCH_ROWS = 10_000  # fixed value: rows the database hands over at a time
 API_START = "2024-01-01"  # fixed value: first day of a full API pull
 CHUNK_DAYS = 7
 
@@ -40,12 +41,27 @@ def extract(source: DataFrame, entity: str, since: Column | None = None, ordered
     return rows.orderBy(ts) if ordered else rows
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, partitions: int,
-              **options: str) -> DataFrame:
-    """A database table in parallel key ranges; filters and columns are pushed into the database."""
-    return (spark.read.format("jdbc").options(url=url, dbtable=table, fetchsize="10000", **options)
-            .option("partitionColumn", key).option("lowerBound", low).option("upperBound", high)
-            .option("numPartitions", partitions).load())
+def jdbc_options(entity: str, url: str, since: datetime | None = None, bounds: tuple[int, int] | None = None, partitions: int = 1,
+                 schema: str | None = None) -> dict[str, str]:
+    """Reader options that let the database select an entity's columns and its increment.
+
+    ``bounds`` are the lowest and highest key: with them the database is read in ``partitions`` parallel key ranges.
+    """
+    if entity not in EXTRACTS:
+        raise ValueError(f"unknown entity {entity!r}; known are {sorted(EXTRACTS)}")
+    ts, columns = EXTRACTS[entity]
+    table = f"{schema}.{entity}" if schema else entity
+    where = f" WHERE {ts} >= TIMESTAMP '{aware(since).astimezone(timezone.utc):%Y-%m-%d %H:%M:%S.%f}'" if since else ""
+    options = {"url": url, "dbtable": f"(SELECT {', '.join(columns)} FROM {table}{where}) AS increment", "fetchsize": str(FETCH_ROWS)}
+    if bounds and partitions > 1:
+        options |= {"partitionColumn": columns[0], "lowerBound": str(bounds[0]), "upperBound": str(bounds[1]), "numPartitions": str(partitions)}
+    return options
+
+
+def read_jdbc(spark: SparkSession, entity: str, url: str, since: datetime | None = None, bounds: tuple[int, int] | None = None,
+              partitions: int = 1, **options: str) -> DataFrame:
+    """Rows of an entity changed at or after ``since``, straight from the database."""
+    return spark.read.format("jdbc").options(**jdbc_options(entity, url, since, bounds, partitions), **options).load()
 
 
 def read_date_partitions(spark: SparkSession, path: str, start: date | str, end: date | str) -> DataFrame | None:
