@@ -2,28 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordered import running_sums
+
 SPEND_DAYS = 180  # fixed value: look-back of the recent spend
 
 
 def _totals_before(lines: DataFrame) -> DataFrame:
     """Adds ``n_before`` and ``amount_before``: all earlier order lines of the same customer.
 
-    Running totals are taken in two levels: per customer over the days (at most one row per day, whatever
-    the customer's size) and per (customer, day) over the rows. A customer with a third of all orders is
-    thereby spread over as many groups as there are days.
+    Running totals over slices of the sorted lines: a customer with a third of all orders, even of one day, is spread over many tasks.
     """
-    days = lines.groupBy("customer_id", "day").agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
-    past = Window.partitionBy("customer_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    before = days.select("customer_id", "day", *[F.coalesce(F.sum(c).over(past), F.lit(0)).alias(f"{c}_earlier_days")
-                                                 for c in ("n", "amount")])
-    today = (Window.partitionBy("customer_id", "day").orderBy("at", "kind", "order_id")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    return (lines.join(before, ["customer_id", "day"])
-            .withColumns({f"{c}_before": F.col(f"{c}_earlier_days") + F.coalesce(F.sum(c).over(today), F.lit(0))
-                          for c in ("n", "amount")}))
+    order = [F.col(c).asc() for c in ("at", "kind", "order_id")]
+    totals = running_sums(lines, order, {"n_until": F.col("n"), "amount_until": F.col("amount")}, ["customer_id"])
+    return totals.withColumns({"n_before": F.col("n_until") - F.col("n"), "amount_before": F.col("amount_until") - F.col("amount")})
 
 
 def order_history(orders: DataFrame, days: int = SPEND_DAYS) -> DataFrame:
@@ -39,8 +33,7 @@ def order_history(orders: DataFrame, days: int = SPEND_DAYS) -> DataFrame:
     markers = o.select("customer_id", "order_id", F.timestamp_add("DAY", F.lit(-days), F.col("order_date")).alias("at"),
                        F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("n"),
                        F.lit(0).cast(o.schema["amount"].dataType).alias("amount"))
-    lines = rows.unionByName(markers).withColumn("day", F.to_date("at"))
-    totals = _totals_before(lines)
+    totals = _totals_before(rows.unionByName(markers))
     order, marker = F.col("kind") == 1, F.col("kind") == 0
     return totals.groupBy("order_id").agg(
         F.max(F.when(order, F.col("customer_id"))).alias("customer_id"),

@@ -24,18 +24,6 @@ def slice_in_order(df: DataFrame, order_by: Sequence[Column], slices: int | None
     return stage(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 
 
-def _carry(per_slice: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:
-    """For every (slice, key) that continues a key of an earlier slice: ``value`` over the earlier slices.
-
-    Only the first key of a slice can continue, so the result has at most one row per slice.
-    """
-    by_key = Window.partitionBy(*keys).orderBy(SLICE)
-    earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
-    return (per_slice.withColumn(name, value.over(earlier))
-            .withColumn("_nth", F.row_number().over(by_key))
-            .where("_nth > 1").select(SLICE, *keys, name))
-
-
 def _join_carry(local: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     renamed = carry.withColumnsRenamed({k: f"_c_{k}" for k in [SLICE, *keys]})
     on = local[SLICE] == renamed[f"_c_{SLICE}"]
@@ -45,22 +33,31 @@ def _join_carry(local: DataFrame, carry: DataFrame, keys: Sequence[str]) -> Data
             .drop(*[f"_c_{k}" for k in [SLICE, *keys]]))
 
 
-def running_sum(df: DataFrame, order_by: Sequence[Column], value: Column, name: str,
-                partition_by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
-    """``sum(value)`` from the first row of each key up to and including the current row.
+def running_sums(df: DataFrame, order_by: Sequence[Column], values: dict[str, Column],
+                 partition_by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
+    """``sum(value)`` from the first row of each key up to and including the current row, for every named value.
 
     ``order_by`` must be a total order within a key.
     """
-    keys = list(partition_by)
+    keys, names = list(partition_by), list(values)
     order = [*[F.col(k).asc() for k in keys], *order_by]
-    sliced = slice_in_order(df.withColumn("_value", value), order, slices)
+    sliced = slice_in_order(df.withColumns({f"_value_{n}": v for n, v in values.items()}), order, slices)
     here = Window.partitionBy(SLICE, *keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
-    totals = sliced.groupBy(SLICE, *keys).agg(F.sum("_value").alias("_total"))
-    carry = _carry(totals, keys, F.sum("_total"), "_before")
-    local = sliced.withColumn("_local", F.sum("_value").over(here))
-    total = F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))
-    return (_join_carry(local, carry, keys).withColumn(name, total)
-            .drop(SLICE, "_value", "_local", "_before"))
+    totals = sliced.groupBy(SLICE, *keys).agg(F.struct(*[F.sum(f"_value_{n}").alias(n) for n in names]).alias("_total"))
+    earlier = F.struct(*[F.sum(F.col("_total")[n]).over(Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)).alias(n) for n in names])
+    by_key = Window.partitionBy(*keys).orderBy(SLICE)
+    # only the first key of a slice can continue an earlier one, so this has at most one row per slice
+    carry = totals.withColumn("_before", earlier).withColumn("_nth", F.row_number().over(by_key)).where("_nth > 1").select(SLICE, *keys, "_before")
+    local = sliced.withColumns({f"_local_{n}": F.sum(f"_value_{n}").over(here) for n in names})
+    joined = _join_carry(local, carry, keys)
+    return (joined.withColumns({n: F.col(f"_local_{n}") + F.coalesce(F.col("_before")[n], F.lit(0)) for n in names})
+            .drop(SLICE, "_before", *[f"_value_{n}" for n in names], *[f"_local_{n}" for n in names]))
+
+
+def running_sum(df: DataFrame, order_by: Sequence[Column], value: Column, name: str,
+                partition_by: Sequence[str] = (), slices: int | None = None) -> DataFrame:
+    """:func:`running_sums` of one value."""
+    return running_sums(df, order_by, {name: value}, partition_by, slices)
 
 
 def row_numbers(df: DataFrame, order_by: Sequence[Column], name: str = "row_number",
