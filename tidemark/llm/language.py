@@ -5,7 +5,7 @@ space. The filter is bit-sliced: position p of its table holds one bit per langu
 positions is the set of all languages that contain it. A text's score for a language is the share of its n-grams found
 there, corrected for the chance that a Bloom filter filled this far says yes to anything; the highest score decides.
 
-Learning: at most ``per_language`` labelled documents of each language (those with the smallest hash of doc_id) are
+Learning: about ``per_language`` labelled documents of each language (chosen by a hash of doc_id; all if there are fewer) are
 counted. An n-gram belongs to a language if it makes up ``MIN_RATE`` of that language's n-grams, hence at most
 1 / MIN_RATE of them, and at least ``MIN_SHARE`` of the n-gram's rates over all languages. So the filter's size is bounded by the number of
 languages alone, and it is broadcast.
@@ -26,8 +26,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import fold_of
+from tidemark.llm.tables import fold_of, sampled_by_hash
 from tidemark.llm.words import mix, text_chunks
+from tidemark.session import stage
 
 PER_LANGUAGE = 2000
 MIN_RATE = 2e-6
@@ -132,12 +133,11 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageFilt
     """The filter learned from (doc_id, text, lang) rows; null without a labelled text."""
     rows = labelled.where("lang is not null and text is not null").select(
         F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_language)
-    sample = rows.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")  # per_language rows a language
+    sample = sampled_by_hash(rows, "lang", "doc_id", per_language)
     counts = sample.select("text", "lang").mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    totals = Window.partitionBy("lang")
-    rates = counts.withColumn("rate", F.col("n") / F.sum("n").over(totals)).where(F.col("rate") >= MIN_RATE)
+    counts = stage(counts, "grams")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))  # one row a language
+    rates = counts.join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.col("total")).where(F.col("rate") >= MIN_RATE)
     own = rates.withColumn("share", F.col("rate") / F.sum("rate").over(Window.partitionBy("gram"))).where(F.col("share") >= MIN_SHARE)
     table = own.select("lang", "gram").toArrow()  # at most 1 / MIN_RATE rows a language
     if not table.num_rows:
