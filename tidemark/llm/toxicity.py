@@ -4,7 +4,7 @@ A sentence has the probability p = sigmoid(bias + sum of the weights of its word
 1 - product(1 - p) over its sentences. Weights and bias are trained so that the documents' labels become likely, so a
 sentence is blamed only as far as the labels need it, and ``locate`` names the sentences that make a document toxic.
 
-Learning takes at most ``per_label`` labelled documents of each label, those with the smallest hash of doc_id. Words and
+Learning takes about ``per_label`` labelled documents of each label, chosen by a hash of doc_id. Words and
 beginnings are known by their 64-bit hash; the vocabulary is those with at least ``MIN_PLACES`` different pairs of neighbours whose
 share of toxic places differs most clearly from the whole sample's, at most ``MAX_WORDS``. Places count, not documents, so that the words
 of a text copied a hundred times tell no more than those of one. The sample's sentences, reduced to these words, are
@@ -25,10 +25,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import fold_of
+from tidemark.llm.tables import fold_of, sampled_by_hash
 from tidemark.llm.words import Words, mix, text_chunks
 
 PER_LABEL = 3000
@@ -157,9 +157,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Tox
     """The model learned from (doc_id, text) and (doc_id, toxic) rows; None unless there are labels of both kinds."""
     marked = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     present = marked.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = present.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_label).select("doc_id", "toxic")
-    sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")  # 2 * per_label ids
+    chosen = sampled_by_hash(present, "toxic", "doc_id", per_label)
+    sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")  # about 2 * per_label ids
     totals = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not (totals.get(0) and totals.get(1)):
         return None
