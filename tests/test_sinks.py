@@ -226,3 +226,19 @@ def test_upsert_by_version_ignores_older_rows(spark, scratch):
     for batch in (rows((1, "b", 2), (2, "x", 1)), rows((1, "a", 1), (2, "y", 1)), rows((1, "c", 3))):
         incremental.upsert(batch, scratch, ["k"], version="version")
     assert collect(spark.read.parquet(scratch)) == [(1, "c", 3), (2, "y", 1)]
+
+
+def test_settled_keeps_the_result_only(spark, scratch):
+    from tidemark.session import scratch_root, settled, stage
+    before = set(files.subfolders(spark, scratch_root(spark)))
+
+    def build():
+        inner = settled(spark, lambda: stage(stage(spark.range(5)).where("id > 1")), "inner")
+        return stage(inner).where("id > 2")
+    out = settled(spark, build, "outer")
+    assert collect(out) == [(3,), (4,)]
+    left = set(files.subfolders(spark, scratch_root(spark))) - before
+    assert [x.split("-")[0] for x in left] == ["outer"]
+    with pytest.raises(Exception, match="boom"):
+        settled(spark, lambda: stage(spark.range(3)).select(F.raise_error(F.lit("boom"))), "broken")
+    assert {x.split("-")[0] for x in set(files.subfolders(spark, scratch_root(spark))) - before} <= {"outer", "broken"}

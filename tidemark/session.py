@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,10 +74,33 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     prune columns.
     """
     path = scratch_path(df.sparkSession, label)
+    if _collecting:
+        _collecting[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_collecting: list[list[str]] = []  # copies staged inside the open calls of :func:`settled`
+
+
+def settled(spark: SparkSession, build: Callable[[], DataFrame], label: str = "result") -> DataFrame:
+    """What ``build`` returns, staged; the copies that were staged while building are deleted, also after an error."""
+    from tidemark.sinks import files
+    made: list[str] = []
+    _collecting.append(made)
+    try:
+        df = build()
+        result_path = scratch_path(spark, label)
+        df.write.parquet(result_path)
+    finally:
+        _collecting.pop()
+        for path in made:
+            files.delete(spark, path)
+    if _collecting:
+        _collecting[-1].append(result_path)
+    return spark.read.schema(df.schema).parquet(result_path)
+
+
 @contextmanager
 def staged(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
     """:func:`stage` for the time of one block; the copy is deleted at its end, also after an error.
