@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import fold_of, sampled_by_hash
 from tidemark.llm.words import Words, mix, text_chunks
 
-PER_LABEL = 3000
+PER_LABEL = 5000
 PREFIXES = (4, 5, 6)  # bytes
 MIN_PLACES = 5
 MAX_WORDS = 2000
@@ -148,8 +148,8 @@ def _known_words(vocabulary: np.ndarray):
                 cuts = np.searchsorted(s.words.rows[word], np.arange(1, part.num_rows))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("toxic"), pa.array(np.bincount(s.row, minlength=part.num_rows).astype(np.int64)),
-                     pa.array([x.tolist() for x in np.split(s.sentence[word], cuts)], pa.list_(pa.int64())),
-                     pa.array([x.tolist() for x in np.split(place, cuts)], pa.list_(pa.int64()))], names=["toxic", "sentences", "at", "place"])
+                     pa.array([x.tolist() for x in np.split(s.sentence[word], cuts)], pa.list_(pa.int32())),
+                     pa.array([x.tolist() for x in np.split(place, cuts)], pa.list_(pa.int16()))], names=["toxic", "sentences", "at", "place"])
     return run
 
 
@@ -171,7 +171,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Tox
     vocabulary = np.sort(telling.column("word").to_numpy().view(np.uint64))
     if not len(vocabulary):
         return None
-    bags = sample.mapInArrow(_known_words(vocabulary), "toxic int, sentences long, at array<long>, place array<long>").toArrow()  # the sample's known words
+    bags = sample.mapInArrow(_known_words(vocabulary), "toxic int, sentences long, at array<int>, place array<short>").toArrow()  # the sample's known words
     sizes = np.array([len(x) for x in bags.column("at")], np.int64)
     flat = [np.concatenate([np.asarray(x.as_py(), np.int64) for x in bags.column(c)]) for c in ("at", "place")]
     return ToxicityModel.fit(vocabulary, bags.column("toxic").to_numpy(), bags.column("sentences").to_numpy(), np.repeat(np.arange(len(sizes)), sizes), *flat)
