@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, language, neardup, packing, quality
 from tidemark.llm.tables import DOCUMENT_COLUMNS, table
-from tidemark.session import stage
+from tidemark.session import settled
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -63,6 +63,6 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table, each one's result written before the next reads it."""
     docs = table(spark, sf_dir, "documents")
-    for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for name, function in STAGES:
+        docs = settled(spark, lambda docs=docs, function=function: function(spark, docs, sf_dir), name)
+    return docs

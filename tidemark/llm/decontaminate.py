@@ -28,12 +28,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import lower_ascii
-from tidemark.session import stage
+from tidemark.session import settled, stage
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WIDTH = 10
 BROADCAST_TERMS = 200_000  # beyond this number the benchmark's terms are not broadcast but shuffled with the words
-TERM = "string"
 
 
 def words_of(text: Column) -> Column:
@@ -121,6 +120,10 @@ def indexed(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame, Da
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated, one row per row of ``docs``."""
+    return settled(docs.sparkSession, lambda: _contamination(docs, items, width), "contamination")
+
+
+def _contamination(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     index, postings, terms = indexed(docs, items)
     hits = stage(phrase_hits(postings, terms, width), "hits")
     positions = hits.select("row", F.explode(F.sequence("first", "last")).alias("pos")).distinct()

@@ -135,7 +135,7 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageFilt
         F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     sample = sampled_by_hash(rows, "lang", "doc_id", per_language)
     counts = sample.select("text", "lang").mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = stage(counts, "grams")
+    counts = stage(counts, "grams")  # counted once, read twice
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))  # one row a language
     rates = counts.join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.col("total")).where(F.col("rate") >= MIN_RATE)
     own = rates.withColumn("share", F.col("rate") / F.sum("rate").over(Window.partitionBy("gram"))).where(F.col("share") >= MIN_SHARE)

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import Words, mix, text_chunks, window_hashes
-from tidemark.session import stage
+from tidemark.session import settled, stage
 
 WIDTH = 5
 PERCENT = 85
@@ -272,6 +272,10 @@ def _ordered(x: Column, y: Column, pairs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id of the class) and kept (doc_id = component_id), one row per row of ``docs``."""
+    return settled(docs.sparkSession, lambda: _near_duplicates(docs, percent, bands, rows, width), "classes")
+
+
+def _near_duplicates(docs: DataFrame, percent: int, bands: int, rows: int, width: int) -> DataFrame:
     every = stage(sketched(docs, bands, rows, width), "sketches")
     classes = every.where("doc_id is not null and digest is not null").groupBy("digest").agg(
         F.min_by(F.struct("doc_id", "n_shingles", "keys"), "doc_id").alias("rep"))
