@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, html, language, licenses, lm, neardup, packing, quality, toxicity, urls
 from tidemark.llm.tables import table
+from tidemark.session import settled
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,7 +31,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op10_minhash_near_dedup")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, folder, "documents"))
+    return settled(spark, lambda: neardup.near_duplicates(table(spark, folder, "documents")), "classes")
 
 
 @query("op1_language_id")
@@ -45,7 +46,7 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_benchmark_decontamination", decontaminate.oracle_sql())
 def op3(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return settled(spark, lambda: decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")), "contamination")
 
 
 # The rules of the query, as host, path, verdict.
