@@ -10,11 +10,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20  # text handled at once; a longer single text is handled alone
+CHUNK_BYTES = 1 << 20  # text handled at once; a longer single text is handled alone
 SPACES = (0x20, *range(0x09, 0x0E))
 
 _U = np.uint64
 
+# The workers of an executor share its memory with the JVM. The system's allocator gives large buffers back when they are freed; Arrow's own
+# pools would keep them for the worker's whole life.
+pa.set_memory_pool(pa.system_memory_pool())
+
 
 def _random_words(n: int, seed: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(seed)).integers(0, 2**64, n, dtype=np.uint64)
@@ -48,13 +52,14 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def text_chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` with about ``limit`` bytes of text each, at least one row; null texts become empty."""
-    text = batch.column(column).cast(pa.large_string()).fill_null("")
-    batch = batch.set_column(batch.schema.get_field_index(column), column, text)
-    offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
+    text, index = batch.column(column), batch.schema.get_field_index(column)
+    width = np.int64 if pa.types.is_large_string(text.type) else np.int32
+    offsets = np.frombuffer(text.buffers()[1], width)[text.offset:text.offset + len(text) + 1] if len(text) else np.zeros(1, width)
     first = 0
     while first < len(text):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1)
-        yield batch.slice(first, last - first)
+        last = max(first + 1, int(np.searchsorted(offsets, int(offsets[first]) + limit, side="right")) - 1)
+        part = batch.slice(first, last - first)
+        yield part.set_column(index, column, part.column(column).cast(pa.large_string()).fill_null(""))  # copies no more than this part
         first = last
 
 
