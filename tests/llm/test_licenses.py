@@ -43,3 +43,16 @@ def test_documents_match_sql(spark):
     assert df.where("n_lines > 0").count() > 10
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_full_texts_and_blocks(spark):
+    texts = dict(reversed([(x, t) for x, t in licenses.licence_texts()]))
+    mit, apache = texts["MIT"], texts["Apache-2.0"]
+    commented = "".join(f" * {line}\n" for line in mit.splitlines())
+    wrapped = "This project is licensed under\nthe terms of the MIT license."
+    rows = [(1, "MIT License\n\nCopyright (c) 2020 Someone\n\n" + mit), (2, apache), (3, "int x;\n/*\n" + commented + " */\nint y;"), (4, f"Some text.\n\n{wrapped}\n\nMore text."),
+            (5, f"x = 1\n# {wrapped.replace(chr(10), chr(10) + '# ')}\ny = 2"), (6, f"Read this.\n\n{mit}\n\nAnd this."), (7, f"Some text,\n{wrapped}\n\nMore text."), (8, "\n \n" * 20000)]
+    got = scan(spark, rows)
+    assert [(r[0], r[1], r[3]) for r in got] == [(1, "MIT", True), (2, "Apache-2.0", True), (3, "MIT", False), (4, "MIT", False), (5, "MIT", False), (6, "MIT", False), (7, "", False), (8, "", False)]
+    ids = {"MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0"}
+    assert ids <= {x for x, _ in licenses.licence_texts()}

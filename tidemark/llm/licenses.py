@@ -2,21 +2,29 @@
 
 A text is brought to a canonical form, in which case, punctuation, white space, copyright lines and equivalent spellings make no
 difference, and the SHA-256 of the whole form is looked up in a table of known licence texts by a hash join. Looked up are the
-whole document and each of its lines, since licence statements mostly stand on a line of their own; a text within a line is
-no match, as the method compares entire texts.
+whole document, each of its lines, since licence statements mostly stand on a line of their own, its blocks of lines between lines without
+letters and digits, and its runs of comment lines; a text within a line is no match, as the method compares entire texts.
+
+Known are the statements of ``KNOWN``, the full licence texts in license_texts.json (with the usual titles) and of these the paragraphs of ``PARAGRAPH_WORDS``
+words or more that belong to one licence only, so a licence is found within a longer document by its paragraphs.
 
 The form: lower case; lines that state a copyright are removed; every run of characters other than letters and digits is one
 space; the spellings of ``SPELLINGS`` are unified word by word.
 
-Only lines can match a line, so each document's distinct forms are taken where it is read, and the known table, a list in the
+Each document's distinct forms are taken where it is read, and the known table, a list in the
 code or given by the caller, is joined to them: broadcast up to ``BROADCAST_KNOWN`` rows, beyond that by shuffling digests, not texts.
 
-Defined cases: null and empty texts, and texts of which the form is empty, match nothing. A line that occurs twice counts once. Repeated
+Defined cases: null and empty texts, and texts of which the form is empty, match nothing. A line that occurs twice counts once; blocks add to the identifiers only. Repeated
 rows and null doc_ids are scanned like others, each on its own. Extra columns are ignored. No known texts: no match.
 """
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Callable
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +67,9 @@ KNOWN = [
 ]
 
 BROADCAST_KNOWN = 100_000
+PARAGRAPH_WORDS = 20
+TEXTS = Path(__file__).with_name("license_texts.json")
+COMMENT = r"^\s*(?://|#|\*|/\*|--|;)"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright(?:\s+(?:\(c\)|©|\d)[^\n]*|[ \t]+by[ \t][^\n]*)?|©[^\n]*|\(c\)\s*\d[^\n]*)$"
 
@@ -80,12 +91,32 @@ def digest(text: Column) -> Column:
     return F.when(form != "", F.sha2(form.cast("binary"), 256))
 
 
+def licence_texts() -> list[tuple[str, str]]:
+    """The full texts, and their long paragraphs that one licence alone has."""
+    whole = [(x["license_id"], x["text"]) for x in json.loads(TEXTS.read_text(encoding="utf-8"))]
+    of: dict[str, set[str]] = {}
+    found: dict[str, str] = {}
+    for name, text in whole:
+        for block in re.split(r"\n(?:[^\w\n]*\n)+", text):
+            words = re.findall(r"[^\W_]+", block.lower())
+            if len(words) >= PARAGRAPH_WORDS:
+                of.setdefault(" ".join(words), set()).add(name)
+                found[" ".join(words)] = block
+    return whole + [(*of[form], block) for form, block in found.items() if len(of[form]) == 1]
+
+
 def known_licenses(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
     """license_id and digest of the known texts; a text known under several identifiers keeps the first of them."""
-    rows = spark.createDataFrame(KNOWN if texts is None else texts, "license_id string, text string")
+    rows = spark.createDataFrame(KNOWN + licence_texts() if texts is None else texts, "license_id string, text string")
     return rows.select("license_id", digest(F.col("text")).alias("digest")).where("digest is not null").groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
+def _blocks(lines: Column, inside: Callable[[Column], Column]) -> Column:
+    """Runs of two or more lines for which ``inside`` holds."""
+    runs = F.split(F.array_join(F.transform(lines, lambda x: F.when(inside(x), x).otherwise("")), "\n"), "\n{2,}")
+    return F.filter(F.transform(runs, lambda x: F.trim(x, F.lit("\n"))), lambda x: F.contains(x, F.lit("\n")))
+
+
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, license_ids (sorted), n_lines (distinct lines that are a licence) and whole (the entire text is one).
 
@@ -94,14 +125,21 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     if known.count() <= BROADCAST_KNOWN:
         known = F.broadcast(known)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lines = F.array_distinct(F.transform(F.split(text, r"\R"), lambda x: F.trim(x)))
-    units = F.concat(F.array(F.struct(F.lit(True).alias("whole"), text.alias("part"))),
-                     F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("part"))))
+    every = F.split(text, r"\R")
+    lines = F.array_distinct(F.transform(every, lambda x: F.trim(x)))
+    comments = F.when(F.exists(every, lambda x: x.rlike(COMMENT)), _blocks(every, lambda x: x.rlike(COMMENT))).otherwise(F.array().cast("array<string>"))
+    blocks = F.array_distinct(F.concat(_blocks(every, lambda x: x.rlike(r"[\p{L}\p{N}]")), comments))
+
+    def as_units(kind: str, parts: Column) -> Column:
+        return F.transform(parts, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("part")))
+
+    units = F.concat(as_units("whole", F.array(text)), as_units("line", F.filter(lines, lambda x: x != "")), as_units("block", blocks))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", units.alias("units"))
-    each = rows.select("row", "doc_id", F.explode("units").alias("unit")).select("row", "doc_id", "unit.whole", digest(F.col("unit.part")).alias("digest"))
+    each = rows.select("row", "doc_id", F.explode("units").alias("unit")).select(
+        "row", "doc_id", (F.col("unit.kind") == "whole").alias("whole"), (F.col("unit.kind") == "line").alias("line"), digest(F.col("unit.part")).alias("digest"))
     hits = each.join(known, "digest", "left").where("license_id is not null or whole").groupBy("row", "doc_id").agg(
         F.array_sort(F.collect_set("license_id")).alias("ids"),
-        F.count_distinct(F.when(~F.col("whole") & F.col("license_id").isNotNull(), F.col("digest"))).alias("n_lines"),
+        F.count_distinct(F.when(F.col("line") & F.col("license_id").isNotNull(), F.col("digest"))).alias("n_lines"),
         F.max(F.col("whole") & F.col("license_id").isNotNull()).alias("whole"))
     return hits.select("doc_id", F.array_join("ids", ",").alias("license_ids"), F.col("n_lines").cast("long").alias("n_lines"), "whole")
 
