@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, html, language, licenses, lm, mixing, neardup, packing, quality, toxicity, urls
+from tidemark.llm import decontaminate, html, language, licenses, lm, mixing, neardup, packing, quality, toxicity, urls, whitening
 from tidemark.llm.tables import table
 from tidemark.session import settled
 
@@ -87,3 +87,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_source_mixing", mixing.oracle_sql())
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return settled(spark, lambda: mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken"), "mix")
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return settled(spark, lambda: whitening.whiten(table(spark, folder, "embeddings")), "whitened")
