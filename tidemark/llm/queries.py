@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html, language, licenses, lm, mixing, neardup, packing, quality, toxicity, urls, whitening
+from tidemark.llm import decontaminate, html, language, licenses, lm, mixing, neardup, negatives, packing, quality, toxicity, urls, whitening
 from tidemark.llm.tables import table
 from tidemark.session import settled
 
@@ -92,3 +93,10 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_embedding_whitening")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return settled(spark, lambda: whitening.whiten(table(spark, folder, "embeddings")), "whitened")
+
+
+@query("op12_hard_negatives", negatives.oracle_sql())
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    points = negatives.points_of(table(spark, folder, "embeddings"), label=label)
+    return settled(spark, lambda: negatives.hard_negatives(points, F.col("vec_id") % 100 == 0), "negatives")
