@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -36,3 +38,30 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct subfolders, sorted."""
     fs, p = _resolve(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder, sorted; none if there is no such folder."""
+    fs, p = _resolve(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is either there as a whole or not at all; one that is there already is not replaced."""
+    fs, p = _resolve(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(path)
+    part = f"{path}.part-{uuid.uuid4().hex}"
+    out = fs.create(_resolve(spark, part)[1], False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename(spark, part, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _resolve(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)).decode()
+    finally:
+        stream.close()

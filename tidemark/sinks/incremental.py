@@ -15,16 +15,18 @@ from tidemark.functions.timestamps import aware, date_or_null, datediff, utc
 from tidemark.operators.dedupe import first_per_key
 from tidemark.operators.filters import newer_than, newest
 from tidemark.session import staged
-from tidemark.sinks import files
+from tidemark.sinks import files, versioned
 
 ROWS_PER_FILE = 100_000  # fixed value: largest file of an appended partition
 
 
 def read_target(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The table at ``path``, or None before the first run.
+    """The table at ``path``, plain or versioned, or None before the first run.
 
     With a schema no file footer is opened to find one; columns a file lacks are NULL, others are ignored.
     """
+    if versioned.exists(spark, path):
+        return versioned.read(spark, path, schema)
     recover_files(spark, path)
     if not files.exists(spark, path):
         return None
@@ -38,7 +40,7 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFram
     return df.sparkSession.table(name)
 
 
-def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of a partition together, so that each is written as few files; a partition too large for one
     task is split by the adaptive rebalance."""
     return df.hint("rebalance", *[F.col(p) for p in partition_by]) if partition_by else df
@@ -48,7 +50,7 @@ def insert_overwrite(df: DataFrame, path: str, partition_by: Sequence[str]) -> N
     """Replaces every partition that occurs in ``df`` and leaves the others alone. ``df`` may read ``path``:
     it is staged before anything is replaced."""
     with staged(df, "overwrite") as rows:
-        writer = _clustered(rows, partition_by).write.mode("overwrite")
+        writer = clustered(rows, partition_by).write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
         writer.parquet(path)
@@ -81,7 +83,8 @@ def align_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
 def upsert(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), version: str | None = None) -> None:
     """One row per key: new rows win, the others stay, and the columns follow the new rows.
 
-    With ``version`` a new row wins only if its version is not older than the stored one, so that late batches may come in any order.
+    With ``version`` a new row wins only if its version is not older than the stored one, so that late batches may come in any order;
+    no version is older than any.
     Only partitions that receive rows or lose an old version are rewritten; of the others just the keys are
     read. ``df`` must hold one row per key.
     """
@@ -93,7 +96,8 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence
             return
         if version:
             known = old.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(version).alias("_stored"))
-            older = [new[k].eqNullSafe(known[f"_k_{k}"]) for k in keys] + [known["_stored"] > new[version]]
+            late = F.coalesce(known["_stored"] > new[version], known["_stored"].isNotNull() & new[version].isNull())
+            older = [new[k].eqNullSafe(known[f"_k_{k}"]) for k in keys] + [late]
             with staged(new.join(known, older, "left_anti"), "upsert-newer") as newer:
                 _merge(old, newer, path, keys, partition_by)
         else:
@@ -117,13 +121,13 @@ def _merge(old: DataFrame, new: DataFrame, path: str, keys: Sequence[str], parti
         with staged(kept.unionByName(new), "upsert") as result:
             if result.isEmpty() and folders.isEmpty():
                 return
-            (_clustered(result, partition_by).write.mode("overwrite").partitionBy(*partition_by)
+            (clustered(result, partition_by).write.mode("overwrite").partitionBy(*partition_by)
              .option("partitionOverwriteMode", "dynamic").parquet(path))
             # a dynamic overwrite never clears a partition that lost all its rows; those folders are deleted one by one
             filled = result.select(*[F.col(p).alias(f"_f_{p}") for p in partition_by]).distinct()
             emptied = folders.join(filled, [folders[p].eqNullSafe(filled[f"_f_{p}"]) for p in partition_by], "left_anti")
             for row in emptied.toLocalIterator():
-                files.delete(spark, path + "".join(f"/{p}={_folder_value(row[p])}" for p in partition_by))
+                files.delete(spark, path + "".join(f"/{p}={folder_value(row[p])}" for p in partition_by))
 
 
 def replace_files(df: DataFrame, path: str) -> None:
@@ -148,7 +152,7 @@ def recover_files(spark: SparkSession, path: str) -> None:
         files.rename(spark, f"{path}__old", path)
 
 
-def _folder_value(value) -> str:
+def folder_value(value) -> str:
     """A partition value as it appears in a folder name, where special characters are percent-encoded."""
     if value is None:
         return "__HIVE_DEFAULT_PARTITION__"
@@ -185,7 +189,7 @@ def update_date_partitions(df: DataFrame, path: str, ts: str, key: str, start: d
 
 def append_partitions(df: DataFrame, path: str, partition_by: Sequence[str], rows_per_file: int = ROWS_PER_FILE) -> None:
     """Appends rows in files of bounded size."""
-    (_clustered(df, partition_by).write.mode("append").option("maxRecordsPerFile", rows_per_file)
+    (clustered(df, partition_by).write.mode("append").option("maxRecordsPerFile", rows_per_file)
      .partitionBy(*partition_by).parquet(path))
 
 
