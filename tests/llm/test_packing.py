@@ -78,3 +78,16 @@ def test_odd_texts(spark):
     nulls = packing.pack(docs.withColumn("doc_id", F.lit(None).cast("long")), PATH)
     assert nulls.where("doc_id is null").count() == nulls.count() > 0
     assert packing.pack(docs.limit(0), PATH).count() == 0
+
+
+def test_every_character_beside_stops_and_commas():
+    import sys
+    import unicodedata
+    tokenizer, words = Tokenizer.from_file(PATH), packing.WordIds(PATH)
+    assigned = (chr(i) for i in range(min(sys.maxunicode, 0x2FFFF)) if unicodedata.category(chr(i)) not in ("Cn", "Cs", "Co"))
+    different = []
+    for c in assigned:
+        for text in (f"a {c}. b {c}, d", f"a .{c} b ,{c} d"):
+            if words.text(text) != np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes():
+                different.append((hex(ord(c)), text))
+    assert different == []

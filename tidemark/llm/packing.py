@@ -33,6 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.words import give_back
+
 MAX_LENGTH = 2048
 SMALLEST_TIER = 256
 STEP_TOKENS = 16 * MAX_LENGTH
@@ -50,6 +52,11 @@ _TWO_MARKS = re.compile(r"[^\w\s][^\w\s]")
 _ODD = "_\u03a3\x1c\x1d\x1e\x1f"
 
 
+def _ends_in_letter(word: str) -> bool:
+    """Also as the tokenizer sees it: some letters end in a mark once composed or lower-cased, and a mark joins what follows."""
+    return unicodedata.normalize("NFC", word).lower()[-1].isalpha()
+
+
 class WordIds(dict):
     """Token ids of a run of characters without spaces, as little-endian 32-bit integers."""
 
@@ -66,7 +73,7 @@ class WordIds(dict):
             return self.encode(word)
         ids = self.before.get(word)
         if ids is None:
-            if word[-1] in ".," and word[:-1].isalpha():  # punctuation is a token run of its own
+            if word[-1] in ".," and word[:-1].isalpha() and _ends_in_letter(word[:-1]):  # punctuation is a token run of its own
                 ids = self[word[:-1]] + self[word[-1]]
             elif word.isalpha() and "Σ" not in word and (low := word.lower()) != word:
                 ids = self[low]
@@ -85,10 +92,11 @@ class WordIds(dict):
     def text(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(c in text for c in _ODD) or _TWO_MARKS.search(text) or not unicodedata.is_normalized("NFC", text):
+        low = text.lower()
+        if any(c in text for c in _ODD) or _TWO_MARKS.search(low) or not unicodedata.is_normalized("NFC", text):
             return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
         # lower case is what the tokenizer sees, and a full stop or comma with no other mark beside it is a token run of its own
-        return b"".join(map(self.__getitem__, text.lower().replace(".", " . ").replace(",", " , ").split()))
+        return b"".join(map(self.__getitem__, low.replace(".", " . ").replace(",", " , ").split()))
 
 
 @functools.cache
@@ -192,6 +200,7 @@ def _packer(path: str, max_length: int, smallest: int, end_id: int):
                         kept.append(docs[doc])
                     left.add(moved[doc], start, length)
             docs, pool = kept, left
+            give_back()
             columns = list(zip(*rows)) if rows else [[] for _ in _ARROW]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
 

@@ -5,6 +5,7 @@ Used inside tasks only; Spark decides which rows a task gets. Hashes are 64 bits
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,16 @@ _U = np.uint64
 pa.set_memory_pool(pa.system_memory_pool())
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+_CHUNKS_PER_TRIM = 16
+
+
+def give_back() -> None:
+    """Returns freed memory to the system. Buffers of changing sizes leave holes, and a worker lives as long as its executor."""
+    if _trim is not None:
+        _trim(0)
+
+
 def _random_words(n: int, seed: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(seed)).integers(0, 2**64, n, dtype=np.uint64)
 
@@ -55,12 +66,16 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_
     text, index = batch.column(column), batch.schema.get_field_index(column)
     width = np.int64 if pa.types.is_large_string(text.type) else np.int32
     offsets = np.frombuffer(text.buffers()[1], width)[text.offset:text.offset + len(text) + 1] if len(text) else np.zeros(1, width)
-    first = 0
+    first, n = 0, 0
     while first < len(text):
+        n += 1
+        if n % _CHUNKS_PER_TRIM == 0:
+            give_back()
         last = max(first + 1, int(np.searchsorted(offsets, int(offsets[first]) + limit, side="right")) - 1)
         part = batch.slice(first, last - first)
         yield part.set_column(index, column, part.column(column).cast(pa.large_string()).fill_null(""))  # copies no more than this part
         first = last
+    give_back()
 
 
 class Words:

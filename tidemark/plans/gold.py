@@ -77,39 +77,54 @@ def daily_metrics(facts: DataFrame) -> DataFrame:
                     "refund_amounts", "day"))
 
 
-def order_profile(facts: DataFrame) -> DataFrame:
-    """Per customer: order dates, count, revenue and the preferred payment method and carrier.
+def profile_parts(facts: DataFrame, orders: Column | None = None) -> DataFrame:
+    """Orders, amount, first and latest use per customer (level 3), customer and payment method (1), customer and carrier (2).
 
-    One grouping-sets pass counts orders per customer, per method and per carrier; the second, much
-    smaller, aggregation folds those rows per customer. A preferred value is the most frequent one, then
-    the one used last, then the first by name.
+    ``orders``: how many orders a row of ``facts`` stands for, one by default.
     """
     customer, method, carrier = (F.col(c) for c in ("customer_id", "payment_method", "shipping_carrier"))
-    counted = (facts.select("customer_id", "payment_method", "shipping_carrier", "order_date", "total_amount")
-               .groupingSets([[customer], [customer, method], [customer, carrier]], customer, method, carrier)
-               .agg(F.grouping_id().alias("level"),
-                    F.min("order_date").alias("first_use"), F.max("order_date").alias("latest_use"),
-                    F.count(F.lit(1)).alias("uses"), F.sum("total_amount").alias("amount")))
-    whole, by_method, by_carrier = (F.col("level") == 3), (F.col("level") == 1), (F.col("level") == 2)
-
-    def preferred(value: Column, level: Column) -> Column:
+    narrow = facts.select("customer_id", "payment_method", "shipping_carrier", "order_date", "total_amount", *([orders.alias("orders")] if orders is not None else []))
+    uses = F.count(F.lit(1)) if orders is None else F.sum("orders")
+    amount = F.sum("total_amount") if orders is None else F.sum(F.col("total_amount") * F.col("orders"))
+    counted = (narrow.groupingSets([[customer], [customer, method], [customer, carrier]], customer, method, carrier)
+               .agg(F.grouping_id().cast("int").alias("level"),
+                    F.min("order_date").alias("first_use"), F.max("order_date").alias("latest_use"), uses.alias("uses"), amount.alias("amount")))
+    value = F.when(F.col("level") == 1, method).when(F.col("level") == 2, carrier)
+    return counted.select("customer_id", "level", value.alias("value"), "first_use", "latest_use", "uses", "amount")
+
+
+def fold_profiles(parts: DataFrame) -> DataFrame:
+    """Per customer: order dates, count, revenue and the preferred payment method and carrier.
+
+    A preferred value is the most frequent one, then the one used last, then the first by name. Parts without uses do not count.
+    """
+    whole, by_method, by_carrier = (F.col("level") == n for n in (3, 1, 2))
+    used = F.col("uses") > 0
+
+    def preferred(level: Column) -> Column:
         # max of (uses, latest use); max_by over equal ranks would be arbitrary, so the value joins the rank
-        best = F.max(F.when(level & value.isNotNull(), F.struct("uses", "latest_use", value.alias("value"))))
+        best = F.max(F.when(level & used & F.col("value").isNotNull(), F.struct("uses", "latest_use", "value")))
         return best["value"]
 
-    return counted.groupBy("customer_id").agg(
+    return parts.groupBy("customer_id").agg(
         F.max(F.when(whole, F.col("first_use"))).alias("first_order_date"),
         F.max(F.when(whole, F.col("latest_use"))).alias("last_order_date"),
         F.max(F.when(whole, F.col("uses"))).alias("total_orders"),
         F.max(F.when(whole, F.col("amount"))).alias("total_revenue"),
-        preferred(method, by_method).alias("preferred_payment_method"),
-        preferred(carrier, by_carrier).alias("preferred_shipping_carrier"))
+        preferred(by_method).alias("preferred_payment_method"),
+        preferred(by_carrier).alias("preferred_shipping_carrier"))
 
 
-def customer_360(customers: DataFrame, facts: DataFrame, as_of: Column | None = None) -> DataFrame:
+def order_profile(facts: DataFrame) -> DataFrame:
+    """Per customer, from one grouping-sets pass over the facts and a second, much smaller, aggregation of its rows."""
+    return fold_profiles(profile_parts(facts))
+
+
+def customer_profiles(customers: DataFrame, profiles: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Customers with their profiles; those without orders have zeros."""
     today = F.current_date() if as_of is None else as_of
     orders, revenue = F.coalesce("total_orders", F.lit(0)), F.coalesce("total_revenue", F.lit(0))
-    return customers.select("customer_id", "email").join(order_profile(facts), "customer_id", "left").select(
+    return customers.select("customer_id", "email").join(profiles, "customer_id", "left").select(
         "customer_id", "email", "first_order_date", "last_order_date",
         orders.alias("total_orders"), revenue.alias("total_revenue"),
         _per_order(revenue, orders).alias("avg_order_value"),
@@ -117,6 +132,10 @@ def customer_360(customers: DataFrame, facts: DataFrame, as_of: Column | None =
         "preferred_payment_method", "preferred_shipping_carrier")
 
 
+def customer_360(customers: DataFrame, facts: DataFrame, as_of: Column | None = None) -> DataFrame:
+    return customer_profiles(customers, order_profile(facts), as_of)
+
+
 def rfm_scores(profiles: DataFrame) -> DataFrame:
     """Quintiles of recency, frequency and revenue; ties are broken by customer id."""
     base = (profiles.where("total_orders > 0 and days_since_last_order is not null")

@@ -16,7 +16,7 @@ in one step. ``changes`` lists what happened since a version, which is what thos
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -178,22 +178,25 @@ def _too_many(pieces: Sequence[Row], at: Version) -> list[Row]:
 
 
 def merge(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), version: str | None = None,
-          properties: dict | None = None) -> Version:
+          properties: dict | Callable[[DataFrame], dict] | None = None) -> Version:
     """One row per key: rows of ``df``, which holds one row per key, replace those with the same key, and the columns follow them.
 
-    With ``version`` a row whose version is older than the stored one changes nothing; no version is the oldest. Without rows and properties there is
-    no new version. Properties are taken over where none are given.
+    With ``version`` a row whose version is older than the stored one changes nothing; no version is the oldest. Without rows there is no new version,
+    unless a dictionary of properties is given; a function of the staged new rows is only asked if there are some. Properties are taken over
+    where none are given.
     """
     spark = df.sparkSession
     with staged(df, "merge-new") as new:
         before = current(spark, path)
+        if before is not None and not isinstance(properties, dict) and new.isEmpty():
+            return before
+        if callable(properties):
+            properties = properties(new)
         if before is None:
             images = new.withColumn(CHANGE, F.lit("after"))
             return _commit(spark, Version(path, 1, tuple(keys), tuple(partition_by), new.schema, properties or {}), new, None, images)
         if before.keys != tuple(keys) or before.partition_by != tuple(partition_by):
             raise ValueError(f"the table has keys {before.keys} and partitions {before.partition_by}")
-        if properties is None and new.isEmpty():
-            return before
         at = Version(path, before.number + 1, before.keys, before.partition_by, new.schema, before.properties if properties is None else properties)
         index, places = _index(spark, before), ["_v", *[_part(p) for p in before.partition_by]]
         candidates = may_hold(index, new, keys, places).collect()
@@ -223,6 +226,23 @@ def merge(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[
             return _commit(spark, at, kept.unionByName(new), left, images)
 
 
+def rows_of(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose key columns, all or the first ones, are in ``wanted``, which holds each once; of pieces that cannot hold one nothing is read."""
+    at = current(spark, path)
+    keys = list(wanted.columns)
+    index, places = _index(spark, at), ["_v", *[_part(p) for p in at.partition_by]]
+    if tuple(keys) == at.keys:
+        pieces = may_hold(index, wanted, keys, places).collect()
+    elif tuple(keys) == at.keys[:len(keys)]:  # the bitmaps are of whole keys, the range is of the first column
+        low, high = wanted.agg(F.min(quote_name(keys[0])), F.max(quote_name(keys[0]))).first()
+        pieces = _places(index.where(~F.coalesce((F.col("high") < F.lit(low)) | (F.col("low") > F.lit(high)), F.lit(False))), at)
+    else:
+        raise ValueError(f"{keys} are not the first of {at.keys}")
+    rows = _read_pieces(spark, at, pieces).drop("_v")
+    own = _keys_of(wanted, keys)
+    return rows.join(own, _same(rows, own, keys), "left_semi")
+
+
 def changes(spark: SparkSession, path: str, since: int) -> DataFrame | None:
     """Rows before and after (column ``_change``) of every version later than ``since``, with the version in ``_version``.
 
