@@ -30,6 +30,15 @@ def test_odd_urls(spark, rules, max_bytes):
     assert urls.judge(pages.limit(0), table).count() == 0
 
 
+@pytest.mark.parametrize("max_bytes", [urls.MAX_BYTES, 0])
+def test_rules_that_read_alike_stay_apart(spark, max_bytes):
+    rules = [("example.com", "", "allow"), ("example.co", "m", "block"), ("1:a", "b", "block"), ("1:ab", "", "allow")]
+    texts = ["http://example.com/x", "http://example.co/m", "http://example.comm", "http://1:ab/", "http://1:a/b", "http://b.example.com"]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, url string")
+    got = sorted(tuple(r) for r in urls.judge(pages, spark.createDataFrame(rules, urls.RULE_COLUMNS), max_bytes=max_bytes).collect())
+    assert got == [(k, *brute(u, rules)) for k, u in enumerate(texts)] and got[0][4] == "allow"
+
+
 def test_equal_digests_are_told_apart(tmp_path):
     import numpy as np
     import pyarrow as pa

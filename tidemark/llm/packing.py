@@ -39,7 +39,7 @@ MAX_LENGTH = 2048
 SMALLEST_TIER = 256
 STEP_TOKENS = 16 * MAX_LENGTH
 BLOCK_TOKENS = 2 << 20  # documents held back for packing at a time
-CACHED_WORDS = 400_000  # and as many of the generation before
+CACHED_WORDS = 320_000  # and as many of the generation before
 CACHED_WORD_CHARS = 40
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_id long"

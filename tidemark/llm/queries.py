@@ -37,7 +37,7 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op1_language_id")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    return language.identify(table(spark, folder, "documents"))
+    return settled(spark, lambda: language.identify(table(spark, folder, "documents")), "languages")
 
 
 @query("op9_packing")

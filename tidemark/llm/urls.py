@@ -64,17 +64,27 @@ def _suffixes(host: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
 
 
+def _key(host: Column, path: Column) -> Column:
+    """Host and path as one string that tells where the host ends."""
+    return F.concat(F.char_length(host).cast("string"), F.lit(":"), host, path)
+
+
+def _shown(key: str) -> str:
+    return key.split(":", 1)[1]
+
+
 def candidate_keys(host: Column, path: Column, path_lengths: list[int]) -> Column:
-    """``host + path`` of every rule that could fit, given the lengths of the rules' paths."""
+    """Keys of every rule that could fit, given the lengths of the rules' paths."""
     starts = F.array(*[F.substring(path, 1, n) for n in path_lengths]) if path_lengths else F.array().cast("array<string>")
     fitting = F.array_distinct(starts)
-    return F.flatten(F.transform(_suffixes(host), lambda h: F.transform(fitting, lambda p: F.concat(h, p))))
+    return F.flatten(F.transform(_suffixes(host), lambda h: F.transform(fitting, lambda p: _key(h, p))))
 
 
 def clean_rules(rules: DataFrame) -> DataFrame:
-    """key, host_length, verdict and digest; equal keys once, block before allow."""
+    """key, host_length, path_length, verdict and digest; equal rules once, block before allow."""
     own = rules.select(_lowered(F.col("host")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict").where("host is not null and host != ''")
-    keyed = own.groupBy(F.concat("host", "path").alias("key")).agg(F.max("verdict").alias("verdict"), F.max(F.char_length("host")).alias("host_length"))
+    keyed = own.groupBy(_key(F.col("host"), F.col("path")).alias("key")).agg(
+        F.max("verdict").alias("verdict"), F.max(F.char_length("host")).alias("host_length"), F.max(F.char_length("path")).alias("path_length"))
     return keyed.withColumn("digest", F.xxhash64("key"))
 
 
@@ -134,7 +144,7 @@ def _probe(archive: str, default: str):
             rule: list[str | None] = [None] * batch.num_rows
             verdict, best = [default] * batch.num_rows, {}
             for c in np.flatnonzero(found >= 0):
-                row, i, text = int(rows[c]), int(found[c]), array.key(int(found[c]))
+                row, i, text = int(rows[c]), int(found[c]), _shown(array.key(int(found[c])))
                 rank = len(text), int(array.hosts[i])
                 if rank > best.get(row, (-1, -1)):
                     best[row], rule[row], verdict[row] = rank, text, "block" if array.blocks[i] else "allow"
@@ -148,7 +158,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", max_bytes:
     spark = pages.sparkSession
     rules = clean_rules(rules)
     size = rules.agg(F.coalesce(F.sum(F.octet_length("key") + 21), F.lit(0)).alias("n")).first().n
-    lengths = sorted(r.n for r in rules.select((F.char_length("key") - F.col("host_length")).alias("n")).distinct().collect())
+    lengths = sorted(r.path_length for r in rules.select("path_length").distinct().collect())
     urls = parsed(pages).select(F.col("page_id").cast("long").alias("page_id"), "host", "path")
     probes = urls.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), lengths))
     if size > max_bytes:
@@ -167,8 +177,8 @@ def _joined(probes: DataFrame, rules: DataFrame, default: str) -> DataFrame:
     rows = probes.withColumn("row", F.monotonically_increasing_id())
     each = rows.select("row", F.explode(F.array_distinct("keys")).alias("probe")).withColumn("digest", F.xxhash64("probe"))
     best = each.join(rules, "digest").where("probe = key").groupBy("row").agg(
-        F.max(F.struct(F.char_length("key").alias("n"), "host_length", "key", "verdict")).alias("best"))
-    return rows.join(best, "row", "left").select("page_id", "host", "path", F.col("best.key").alias("rule"),
+        F.max(F.struct((F.col("host_length") + F.col("path_length")).alias("n"), "host_length", "key", "verdict")).alias("best"))
+    return rows.join(best, "row", "left").select("page_id", "host", "path", F.regexp_replace("best.key", "^[0-9]+:", "").alias("rule"),
                                                  F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
 
