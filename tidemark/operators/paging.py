@@ -9,17 +9,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import aware
-from tidemark.operators.ordered import row_numbers
+from tidemark.operators.ordered import positions
+
+EARLY = 10_000  # rows that tasks may keep and the driver may merge
 
 
 def page(df: DataFrame, order_by: Sequence[Column], limit: int = 1000, offset: int = 0) -> DataFrame:
     """Rows ``offset .. offset+limit`` of one total order, the same order for every page.
 
-    The rows are numbered over all tasks, so a deep offset gathers one page, not all rows before it. To read on from
-    a known row, :func:`page_after` is cheaper: it filters at the scan.
+    Early pages keep the first rows of every task. For a deep one the rows are counted by slices of the order, and only the slices that hold the
+    page are sorted, over all tasks. To read on from a known row, :func:`page_after` is cheaper: it filters at the scan.
     """
-    numbered = row_numbers(df, order_by, "_row")
-    return numbered.where(F.col("_row").between(offset + 1, offset + limit)).orderBy("_row").drop("_row")
+    if offset + limit <= EARLY:
+        return df.orderBy(*order_by).offset(offset).limit(limit)
+    return positions(df, order_by, offset + 1, offset + limit, "_row").orderBy("_row").drop("_row")
 
 
 def page_info(df: DataFrame, limit: int = 1000, offset: int = 0) -> DataFrame:
