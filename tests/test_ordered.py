@@ -1,5 +1,7 @@
 """Order-dependent operators against plain Python, with many slices and one hot key."""
 
+import datetime
+import decimal
 import random
 
 import pytest
@@ -98,3 +100,50 @@ def test_available_products_with_ties(spark):
     products = spark.createDataFrame([(1, day(2)), (2, day(2)), (3, day(5))], "product_id int, created_at timestamp")
     orders = spark.createDataFrame([(10, day(1)), (11, day(2)), (12, day(4)), (13, day(9))], "order_id bigint, order_date timestamp")
     assert collect(joins.available_at(orders, products)) == [(10, 3), (11, 2), (12, 2), (13, 3)]
+
+
+def rows_of_every_kind(spark):
+    rng = random.Random(3)
+    values = [None, "", "a", "B", "é", "zz", "Z"]
+    return spark.createDataFrame(
+        [(i, rng.choice(values), rng.choice([None, 1.5, -2.0, float("nan"), 0.0]), rng.choice([None, datetime.datetime(2024, 1, 1, rng.randrange(20))]),
+          rng.choice([None, decimal.Decimal("1.10"), decimal.Decimal("-7.00")]), rng.choice([None, datetime.date(2024, 2, 3), datetime.date(1999, 1, 1)])) for i in range(400)],
+        "id int, s string, d double, t timestamp, m decimal(9,2), day date").repartition(3)
+
+
+ORDERS = [lambda: [c("s").asc_nulls_last()], lambda: [c("s").desc_nulls_first(), c("d").asc()], lambda: [c("t").desc()], lambda: [F.lower("s").desc_nulls_last(), c("t").asc_nulls_last()],
+          lambda: [c("m"), c("day").desc_nulls_first()], lambda: [c("d").desc(), c("m").desc_nulls_first()]]
+
+
+@pytest.mark.parametrize("order", ORDERS)
+def test_slices_follow_every_kind_of_order(spark, order):
+    df = rows_of_every_kind(spark)
+    by = [*order(), c("id").asc()]
+    cut = ordered.slice_in_order(df, by, 9)
+    assert cut.select(ordered.SLICE).distinct().count() > 4
+    got = ordered.numbered(df, {"n": by}, 9)
+    want = df.withColumn("n", F.row_number().over(Window.orderBy(*by)))
+    assert collect(got.select("id", "n")) == collect(want.select("id", "n"))
+    some = ordered.positions(df, by, 101, 130, "n", 9)
+    assert collect(some.select("id", "n")) == collect(want.where("n between 101 and 130").select("id", "n"))
+
+
+def test_building_writes_nothing(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+    from tidemark.registry.catalog import QUERIES
+
+    def never(*args, **kwargs):
+        raise AssertionError("written")
+    monkeypatch.setattr(DataFrameWriter, "parquet", never)
+    for name in ("wn4_global_ntile", "wn5_lead_and_last", "wn6_lag_over_whole_table", "wn7_row_offset", "wn9_history_at_order_time", "jn10_products_available",
+                 "dq18_sequential_values", "dq19_ranges_no_gaps", "br2_segment_at_order", "br8_free_shipping", "so1_page_rows", "gld4_rfm_scores"):
+        text = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "/slices-" not in text and "/ntile-" not in text
+
+
+def test_deep_and_early_pages_agree(hot, monkeypatch):
+    from tidemark.operators import paging
+    by = [c("v").desc(), c("id").asc()]
+    early = [paging.page(hot, by, 50, n).select("id").collect() for n in (0, 180, 580, 700)]
+    monkeypatch.setattr(paging, "EARLY", 0)
+    assert early == [paging.page(hot, by, 50, n).select("id").collect() for n in (0, 180, 580, 700)]

@@ -77,6 +77,40 @@ def daily_metrics(facts: DataFrame) -> DataFrame:
                     "refund_amounts", "day"))
 
 
+_BITS = 1 << 15  # of one bitmap
+
+
+#: Which orders each distinct count of a day looks at.
+def _counted() -> dict[str, Column]:
+    delivered = (F.col("shipment_status") == "delivered") | F.col("actual_delivery_date").isNotNull()
+    return {"total_orders": F.lit(True), "paid_orders": F.col("payment_status").isin(PAID), "delivered_orders": delivered}
+
+
+def daily_order_sets(facts: DataFrame) -> DataFrame:
+    """Per day, count and block of order numbers a bitmap of the orders: exact sets that merge over batches, days and months.
+
+    An order delivered again sets a bit that is set. Blocks hold 32 768 consecutive numbers, so a bitmap has 4 KB at most
+    and a day as many as its orders' numbers span.
+    """
+    order = F.col("order_id").cast("long")
+    conditions = F.array(*[F.struct(F.lit(name).alias("measure"), condition.alias("holds")) for name, condition in _counted().items()])
+    rows = (facts.where("order_date is not null and order_id is not null")
+            .select(F.to_date("order_date").alias("day"), order.alias("order_id"), F.explode(conditions).alias("m")).where("m.holds"))
+    return (rows.groupBy("day", F.col("m.measure").alias("measure"), F.floor(F.col("order_id") / _BITS).alias("block"))
+            .agg(F.bitmap_construct_agg(F.pmod("order_id", F.lit(_BITS))).alias("orders")))
+
+
+def merged_order_sets(sets: DataFrame, *by: Column) -> DataFrame:
+    """Unions of sets: of the same day from several batches, or of all days of a month."""
+    return sets.groupBy(*by, "measure", "block").agg(F.bitmap_or_agg("orders").alias("orders"))
+
+
+def distinct_orders(sets: DataFrame, *by: str) -> DataFrame:
+    """The exact numbers of distinct orders in ``sets``, which holds each (by, measure, block) once."""
+    counts = {name: F.sum(F.when(F.col("measure") == name, F.bitmap_count("orders")).otherwise(0)) for name in _counted()}
+    return sets.groupBy(*by).agg(*[n.cast("long").alias(name) for name, n in counts.items()])
+
+
 def profile_parts(facts: DataFrame, orders: Column | None = None) -> DataFrame:
     """Orders, amount, first and latest use per customer (level 3), customer and payment method (1), customer and carrier (2).
 

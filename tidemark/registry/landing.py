@@ -17,8 +17,8 @@ from tidemark.plans import refresh, silver
 from tidemark.registry.core import BODIES, as_of, query
 from tidemark.registry.layers import staging
 from tidemark.session import scratch_path
-from tidemark.sinks import control, incremental, ingest, landing
-from tidemark.sources import extract
+from tidemark.sinks import control, incremental, ingest, landing, periods, versioned
+from tidemark.sources import catalog, extract
 from tidemark.streaming import tables as streams
 
 c = F.col
@@ -107,6 +107,23 @@ def _(lake):
     return registered.where(F.concat(F.lit("ingestion_date="), c("ingestion_date").cast("string")).isin(fresh))
 
 
+@query("src7_catalogue", """SELECT DATE '2024-01-01' + CAST(day(ts) % 3 AS INTEGER) AS ingestion_date, CAST(day(ts) % 3 = 2 AS INTEGER) AS late, count(*) AS n_rows,
+count(CASE WHEN day(ts) % 3 = 2 THEN user_id END) AS n_users FROM events GROUP BY 1, 2""")
+def _(lake):
+    """Two registrations, the second with a new folder and a new column, read from another session on the same catalogue."""
+    root = scratch_path(lake.spark, "landed")
+    table = "tidemark_" + root.rsplit("-", 1)[1]
+    events = lake.table("events").withColumn("ingestion_date", F.date_add(F.lit("2024-01-01").cast("date"), F.dayofmonth("ts") % 3))
+    late = F.dayofmonth("ts") % 3 == 2
+    incremental.append_partitions(events.where(~late).select("event_id", "ingestion_date"), f"{root}/events", ["ingestion_date"])
+    first = catalog.register(lake.spark, root, "events", table)
+    incremental.append_partitions(events.where(late).select("event_id", "user_id", "ingestion_date"), f"{root}/events", ["ingestion_date"])
+    second = catalog.register(lake.spark, root, "events", table)
+    rows = lake.spark.newSession().table(table)
+    return (rows.withColumn("late", F.concat(F.lit("ingestion_date="), c("ingestion_date").cast("string")).isin(second).cast("int"))
+            .where(F.lit(not set(first) & set(second))).groupBy("ingestion_date", "late").agg(F.count("*").alias("n_rows"), F.count("user_id").alias("n_users")))
+
+
 @query("src8_csv_seed", "SELECT p_partkey, p_name, p_size, p_retailprice FROM part")
 def _(lake):
     path = scratch_path(lake.spark, "seed")
@@ -288,6 +305,42 @@ def _(lake):
     return lake.spark.read.parquet(path)
 
 
+@query("snk10_versioned_merge", """SELECT order_id, order_status, payment_status, ingestion_date FROM stg_orders""")
+def _(lake):
+    path = scratch_path(lake.spark, "silver-orders")
+    source = lake.bronze("orders")
+    for rows in (source.where(c("_ingestion_ts") <= _ts(_CUT)), source.where(c("_ingestion_ts") > _ts(_CUT))):
+        built = silver.stg_orders(rows).select("order_id", "order_status", "payment_status", "ingestion_date")
+        versioned.merge(built, path, ["order_id"], ["ingestion_date"])
+    return versioned.read(lake.spark, path)
+
+
+_LATEST = """SELECT * FROM bronze_orders WHERE {0} QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY _ingestion_ts DESC, _record_hash DESC) = 1"""
+
+
+@query("snk10_changes", f"""WITH a AS ({_LATEST.format(f"_ingestion_ts <= TIMESTAMP '{_CUT}'")}), b AS ({_LATEST.format(f"_ingestion_ts > TIMESTAMP '{_CUT}'")})
+SELECT order_id, lower(order_status) AS order_status, 'after' AS change FROM b
+UNION ALL SELECT a.order_id, lower(a.order_status), 'before' FROM a JOIN b ON a.order_id = b.order_id""")
+def _(lake):
+    """What the second delivery changed, rows before and after."""
+    path = scratch_path(lake.spark, "silver-orders")
+    source = lake.bronze("orders")
+    for rows in (source.where(c("_ingestion_ts") <= _ts(_CUT)), source.where(c("_ingestion_ts") > _ts(_CUT))):
+        versioned.merge(silver.stg_orders(rows).select("order_id", "order_status", "ingestion_date"), path, ["order_id"], ["ingestion_date"])
+    return versioned.changes(lake.spark, path, 1).select("order_id", "order_status", c(versioned.CHANGE).alias("change"))
+
+
+@query("snk12_load_periods", "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-20'")
+def _(lake):
+    """Weeks, the second run going on where the first stopped inside a week."""
+    path = scratch_path(lake.spark, "periods")
+    events = lake.table("events").select("event_id", "ts")
+    for stop in (_day(12), _day(20)):
+        periods.load_periods(lake.spark, lambda inside: events.where(inside), path, "ts", datetime.datetime(2024, 1, 3),
+                             datetime.datetime(stop.year, stop.month, stop.day), "week")
+    return periods.read_periods(lake.spark, path)
+
+
 @query("snk13_export_and_reload", """SELECT 'orders' AS table_name, count(*) AS n_rows, (SELECT count(*) FROM (SELECT order_id FROM stg_orders GROUP BY 1 HAVING count(*) > 1)) AS duplicate_keys,
 (SELECT count(*) FROM stg_orders WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM stg_customers)) AS orphans FROM stg_orders
 UNION ALL SELECT 'order_items', count(*), (SELECT count(*) FROM (SELECT order_item_id FROM bronze_order_items GROUP BY 1 HAVING count(*) > 1)),
@@ -483,6 +536,16 @@ def _(lake):
     return lake.spark.read.parquet(path).select("l_orderkey", "l_linenumber")
 
 
+@query("str1_stream_keyed_state", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+def _(lake):
+    lines = lake.table("lineitem").select("l_orderkey", "l_linenumber", c("l_shipdate").cast("timestamp").alias("shipped"))
+    again = lines.where("l_linenumber < 3").withColumn("shipped", F.timestamp_add("DAY", F.lit(400), c("shipped")))  # every key of them twice
+    path = scratch_path(lake.spark, "stream")
+    streams.keep_state_on_disk(lake.spark)
+    _run(lake, streams.first_of_each(_deliveries(lake, lines.unionAll(again), 4, "deliveries"), ["l_orderkey", "l_linenumber"]), streams.append_to(path))
+    return lake.spark.read.parquet(path).select("l_orderkey", "l_linenumber")
+
+
 @query("str2_stream_daily_windows", """SELECT CAST(ts AS DATE) AS day, count(*) AS n_rows, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS amount
 FROM events GROUP BY 1""")
 def _(lake):

@@ -72,6 +72,29 @@ def _(lake):
     return gold.daily_metrics(gold.recent_days(facts(lake), as_of()))
 
 
+_DISTINCT = """SELECT {0}, count(DISTINCT order_id) AS total_orders,
+count(DISTINCT CASE WHEN payment_status IN ('completed', 'success') THEN order_id END) AS paid_orders,
+count(DISTINCT CASE WHEN shipment_status = 'delivered' OR actual_delivery_date IS NOT NULL THEN order_id END) AS delivered_orders
+FROM order_facts WHERE order_date IS NOT NULL GROUP BY 1"""
+
+
+def _sets_of_two_batches(lake):
+    """Sets of two batches, the second of which delivers most orders of the first again."""
+    own = facts(lake)
+    return gold.daily_order_sets(own.where("order_id % 3 <> 0")).unionByName(gold.daily_order_sets(own.where("order_id % 5 <> 1")))
+
+
+@query("gld2_daily_distinct_orders", _DISTINCT.format("CAST(order_date AS DATE) AS day"))
+def _(lake):
+    return gold.distinct_orders(gold.merged_order_sets(_sets_of_two_batches(lake).unionByName(gold.daily_order_sets(facts(lake))), F.col("day")), "day")
+
+
+@query("gld2_monthly_distinct_orders", _DISTINCT.format("CAST(date_trunc('month', order_date) AS DATE) AS month").replace("GROUP BY 1", "AND (order_id % 3 <> 0 OR order_id % 5 <> 1) GROUP BY 1"))
+def _(lake):
+    days = gold.merged_order_sets(_sets_of_two_batches(lake), F.col("day"))
+    return gold.distinct_orders(gold.merged_order_sets(days, F.to_date(F.date_trunc("month", "day")).alias("month")), "month")
+
+
 @query("gld3_customer_360", """SELECT * REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue,
 CAST(avg_order_value AS DOUBLE) AS avg_order_value) FROM customer_360""")
 def _(lake):

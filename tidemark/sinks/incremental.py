@@ -196,7 +196,7 @@ def append_partitions(df: DataFrame, path: str, partition_by: Sequence[str], row
 PERIODS = {"hour": timedelta(hours=1), "day": timedelta(days=1), "week": timedelta(weeks=1)}
 
 
-def _add_periods(at: datetime, n: int, period: str) -> datetime:
+def add_periods(at: datetime, n: int, period: str) -> datetime:
     if period in PERIODS:
         return at + n * PERIODS[period]
     month = at.year * 12 + at.month - 1 + n * {"month": 1, "year": 12}[period]
@@ -232,7 +232,7 @@ def insert_by_period(build: Callable[[Column], DataFrame], path: str, ts: str, s
     spark = spark or SparkSession.getActiveSession()
     begin, end, periods = period_boundaries(spark, path, ts, start, stop, period, now)
     for i in range(periods):
-        low, high = _add_periods(begin, i, period), _add_periods(begin, i + 1, period)
+        low, high = add_periods(begin, i, period), add_periods(begin, i + 1, period)
         inside = (F.col(ts) > F.lit(low)) & (F.col(ts) <= F.lit(high)) & (F.col(ts) < F.lit(end))
         build(inside).write.mode("append").parquet(path)
     return max(periods, 0)

@@ -76,6 +76,21 @@ def new_keys_to(path: str, keys: Sequence[str]) -> Callable[[DataFrame, int], No
     return write
 
 
+def first_of_each(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The first row of every key, whenever the others come: the keys are kept as state, dealt by key over the tasks.
+
+    A batch looks up its own keys and never reads what was written. The state grows with the number of keys, so it belongs in a store on
+    disk (:func:`keep_state_on_disk`); its checkpoint must be kept as long as the table.
+    """
+    return stream.dropDuplicates(list(keys))
+
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """State of streams in RocksDB, with changes instead of whole snapshots in the checkpoint."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def daily_parts_to(path: str, ts: str, amount: str) -> Callable[[DataFrame, int], None]:
     """Batch writer of rows and amount per day of each batch, to be summed by :func:`daily_totals`."""
     append = append_to(path)
