@@ -119,7 +119,7 @@ def _(lake):
     first = catalog.register(lake.spark, root, "events", table)
     incremental.append_partitions(events.where(late).select("event_id", "user_id", "ingestion_date"), f"{root}/events", ["ingestion_date"])
     second = catalog.register(lake.spark, root, "events", table)
-    rows = lake.spark.newSession().table(table)
+    rows = catalog.landed_table(lake.spark.newSession(), table)
     return (rows.withColumn("late", F.concat(F.lit("ingestion_date="), c("ingestion_date").cast("string")).isin(second).cast("int"))
             .where(F.lit(not set(first) & set(second))).groupBy("ingestion_date", "late").agg(F.count("*").alias("n_rows"), F.count("user_id").alias("n_users")))
 

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import quote_name
@@ -75,7 +76,7 @@ def register(spark: SparkSession, root: str, entity: str, table: str) -> list[st
         kinds = _partition_types(spark, base, fresh[0])
         described = ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in columns)
         partitioned = ", ".join(f"{quote_name(n)} {t.simpleString()}" for n, t in kinds.items())
-        spark.sql(f"CREATE TABLE {table} ({described}, {partitioned}) USING parquet OPTIONS (pathGlobFilter '*.parquet') PARTITIONED BY ({', '.join(map(quote_name, parts))}) LOCATION {_quoted(base)}")
+        spark.sql(f"CREATE TABLE {table} ({described}, {partitioned}) USING parquet PARTITIONED BY ({', '.join(map(quote_name, parts))}) LOCATION {_quoted(base)}")
     else:
         have = {n.lower() for n in spark.table(table).columns}
         added = [f for f in columns if f.name.lower() not in have]
@@ -95,3 +96,8 @@ def deregister_missing(spark: SparkSession, root: str, entity: str, table: str)
     for leaf in gone:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(leaf)})")
     return ["/".join(leaf) for leaf in gone]
+
+
+def landed_table(spark: SparkSession, table: str) -> DataFrame:
+    """The table without manifests and the like that lie in its folders; Spark itself only leaves out names with a leading ``_`` or dot."""
+    return spark.table(table).where(F.col("_metadata.file_name").endswith(".parquet"))
