@@ -18,7 +18,7 @@ from tidemark.registry.core import BODIES, as_of, query
 from tidemark.registry.layers import staging
 from tidemark.session import scratch_path
 from tidemark.sinks import control, incremental, ingest, landing, periods, versioned
-from tidemark.sources import catalog, extract
+from tidemark.sources import catalog, extract, replies
 from tidemark.streaming import tables as streams
 
 c = F.col
@@ -78,6 +78,30 @@ def _(lake):
     return extract.pull_in_chunks(lake.table("events"), "ts", start, end).select("event_id", c("chunk").cast("bigint").alias("chunk"))
 
 
+_PULLED_EVENTS = """SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, chunk FROM (SELECT *, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS d FROM events)
+JOIN (SELECT unnest(range(0, 5)) AS chunk) ON d BETWEEN chunk * 7 AND least(chunk * 7 + 7, 29) WHERE d <= 29"""
+
+
+def _stored_replies(lake) -> str:
+    path = scratch_path(lake.spark, "replies")
+    replies.store_replies(lake.table("events").select("event_id", c("ts").cast("timestamp").alias("ts")), path, "events", "ts", extract.pull_start(None), _ts("2024-01-30 12:00:00"))
+    return path
+
+
+@query("src5_data_source", f"SELECT * FROM ({_PULLED_EVENTS}) WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20 06:00:00'")
+def _(lake):
+    pulled = replies.read_replies(lake.spark, _stored_replies(lake), "event_id bigint, ts timestamp, chunk bigint", "events", "ts")
+    return pulled.where((c("ts") >= _ts("2024-01-10")) & (c("ts") < _ts("2024-01-20 06:00:00")))
+
+
+@query("src5_data_stream", _PULLED_EVENTS)
+def _(lake):
+    path = scratch_path(lake.spark, "stream")
+    stream = replies.stream_replies(lake.spark, _stored_replies(lake), "event_id bigint, ts timestamp, chunk bigint", "events")
+    _run(lake, stream, streams.append_to(path))
+    return lake.spark.read.parquet(path).select("event_id", "ts", "chunk")
+
+
 _RECORD = "id BIGINT, status STRING, amount DOUBLE"
 
 
