@@ -81,3 +81,19 @@ def test_suite_groups_each_table_once(spark):
     # per table a grouping and the count over it, each in two halves; a relation groups its child and its parent and counts
     assert text.count("HashAggregate") + text.count("SortAggregate") <= 4 * tables + 8 * relations
     assert text.count("Scan parquet") <= tables + 2 * relations
+
+
+def test_colocated_tables_meet_without_a_shuffle(spark):
+    from tidemark.registry.layers import colocated_facts
+    from tidemark.sinks import colocated
+    from tidemark.sources.bronze import Lake
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = colocated_facts(Lake(spark, FOLDER))
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert df.count() == QUERIES["gld1_order_facts"](spark, FOLDER).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert colocated.buckets_for(1) == 1 and colocated.buckets_for(3 * 128 << 20) == 4 and colocated.buckets_for(4 * 128 << 20) == 4

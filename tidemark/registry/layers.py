@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import gold, silver
 from tidemark.registry.core import as_of, query
+from tidemark.session import scratch_path
+from tidemark.sinks import colocated
 from tidemark.sources.bronze import Lake
 
 
@@ -58,6 +60,20 @@ def _(lake):
     return facts(lake)
 
 
+def colocated_facts(lake, buckets: int = 8) -> DataFrame:
+    """The facts over silver tables dealt by order."""
+    own = []
+    for entity in ("orders", "payments", "shipments"):
+        path = scratch_path(lake.spark, f"colocated-{entity}")
+        own.append(colocated.write_colocated(staging(lake, entity), "tidemark_" + path.rsplit("-", 1)[1], "order_id", buckets, path))
+    return gold.order_facts(*own)
+
+
+@query("gld1_colocated_order_facts", f"SELECT {_ORDER_MONEY}, CAST(payment_amount AS DOUBLE) AS payment_amount) FROM order_facts")
+def _(lake):
+    return colocated_facts(lake)
+
+
 _DAILY = """SELECT total_orders, CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(avg_order_value AS DOUBLE) AS avg_order_value,
 paid_orders, delivered_orders, CAST(refund_amounts AS DOUBLE) AS refund_amounts, day FROM daily_metrics"""
 
