@@ -70,3 +70,11 @@ def test_odd_rows(spark):
         (0, "a", 1, 1), (2, "", 0, 0), (3, "b", 1, 1), (3, "b", 1, 1)]
     assert html.extract(pages).where("page_id = 1").first().n_chars is None
     assert html.extract(pages.limit(0)).count() == 0
+
+
+def test_drawings_formulas_and_examples_show_their_text():
+    show = html.visible_text
+    assert show("a<svg><title>t</title><desc>d</desc><path d='M0'/><text>seen</text><defs/><g><text>too</text></g></svg>b").split() == ["aseentoob"]
+    assert show("<p>x<math><mi>y</mi><annotation>tex</annotation><mo>+</mo></math>z") == "xy+z"
+    assert show("<p>a</p><xmp>1 <b>2</b>\n  3 &amp;</xmp>c") == "a\n\n1 <b>2</b>\n  3 &amp;\n\nc"
+    assert show("<desc>outside</desc><svg><desc/>inside</svg>") == "outsideinside"

@@ -31,9 +31,10 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
 HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html "
-             "legend li main menu nav ol optgroup option p pre search section summary table ul".split())
-SPACED = set("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 hr menu ol p pre table ul".split())
-HIDDEN = set("audio canvas datalist embed head iframe img input math noembed noframes noscript object script style svg template title video".split())
+             "legend li main menu nav ol optgroup option p pre search section summary table ul xmp".split())
+SPACED = set("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 hr menu ol p pre table ul xmp".split())
+HIDDEN = set("audio canvas datalist embed head iframe img input noembed noframes noscript object script style template title video".split())
+FOREIGN = {"svg": set("defs desc metadata symbol".split()), "math": {"annotation", "annotation-xml"}}  # drawings and formulas, and what they do not show
 LISTS = set("ul ol menu dir".split())
 TABLE_PARTS = set("table thead tbody tfoot tr".split())
 
@@ -147,12 +148,19 @@ def build(page: str) -> Node:
             tree.finish(m[1].lower())
         elif m[2] or m[4]:  # the latter with a quote that never closes
             tag = (m[2] or m[4]).lower()
-            tree.start(tag, (m[3] or m[5] or "").removesuffix("/"))
+            attributes = m[3] or m[5] or ""
+            foreign = next((n.tag for n in reversed(tree.open) if n.tag in FOREIGN), None)
+            tree.start(tag, attributes.removesuffix("/") + (" hidden" if foreign and tag in FOREIGN[foreign] else ""))
+            if foreign and attributes.endswith("/") and tag not in RAW:
+                tree.finish(tag)
+                continue
             if tag in RAW:
                 close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
                 inside = page[at:close.start() if close else n]
                 if tag == "textarea":
                     tree.add(html.unescape(inside))
+                elif tag == "xmp":
+                    tree.add(inside)
                 at = close.start() if close else n
                 if not close:
                     tree.finish(tag)
@@ -316,7 +324,7 @@ def render(node: Node, tables: int = 0) -> list[str]:
             elif tag in ("blockquote", "dd"):
                 out.indents.append("  ")
             todo.append((item, "close", keep))
-        keep = keep or tag in ("pre", "textarea")
+        keep = keep or tag in ("pre", "textarea", "xmp")
         todo += [(c, "open", keep) for c in reversed(children)]
     out.flush()
     return out.lines
