@@ -43,7 +43,6 @@ class Version:
     partition_by: tuple[str, ...]
     schema: T.StructType
     properties: dict = field(default_factory=dict)
-    rows: int = 0  # that this version wrote
 
     def folder(self, kind: str, number: int | None = None) -> str:
         return f"{self.path}/_{kind}/_v={self.number if number is None else number}"
@@ -64,7 +63,7 @@ def current(spark: SparkSession, path: str, number: int | None = None) -> Versio
         return None
     number = max(numbers) if number is None else number
     told = json.loads(files.read_text(spark, f"{path}/_current/{number:010d}.json"))
-    return Version(path, number, tuple(told["keys"]), tuple(told["partition_by"]), T.StructType.fromJson(told["schema"]), told["properties"], told["rows"])
+    return Version(path, number, tuple(told["keys"]), tuple(told["partition_by"]), T.StructType.fromJson(told["schema"]), told["properties"])
 
 
 def _part(name: str) -> str:
@@ -133,7 +132,7 @@ def _keys_of(rows: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
 
 
 def _publish(spark: SparkSession, at: Version) -> None:
-    told = {"keys": at.keys, "partition_by": at.partition_by, "schema": at.schema.jsonValue(), "properties": at.properties, "rows": at.rows}
+    told = {"keys": at.keys, "partition_by": at.partition_by, "schema": at.schema.jsonValue(), "properties": at.properties}
     files.publish_text(spark, f"{at.path}/_current/{at.number:010d}.json", json.dumps(told))
 
 
@@ -153,8 +152,6 @@ def _commit(spark: SparkSession, at: Version, rows: DataFrame, kept_index: DataF
     if kept_index is not None:
         index = kept_index.unionByName(index)
     index.coalesce(1).write.mode("overwrite").parquet(at.folder("index"))  # pieces by buckets, whatever the rows
-    written = spark.read.parquet(at.folder("index")).where(F.col("_v") == at.number).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    at = Version(at.path, at.number, at.keys, at.partition_by, at.schema, at.properties, written)
     if images is not None:
         images.write.mode("overwrite").parquet(at.folder("changes"))
     else:
