@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import gold
-from tidemark.sinks import files, periods
+from tidemark.sinks import files, periods, versioned
 from tidemark.sources import catalog
 from tidemark.streaming import tables as streams
 
@@ -105,6 +105,16 @@ def test_keyed_stream_survives_a_restart_and_never_reads_its_table(spark, scratc
     assert batches and all(out not in plan for plan in batches)
 
 
+def test_a_repeated_batch_changes_nothing(spark, scratch):
+    write = streams.merged_to(scratch, ["k"], "n", ["part"])
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, n int, part string")
+    batches = [rows((1, 2, "a"), (1, 1, "b"), (2, 1, "a")), rows((1, 1, "c"), (2, 5, "c"), (3, None, "a")), rows((3, 1, "b"))]
+    for n, batch in enumerate(batches):
+        write(batch, n)
+        write(batch, n)
+    assert collect(versioned.read(spark, scratch)) == [(1, 2, "a"), (2, 5, "c"), (3, 1, "b")]
+
+
 def test_order_sets_count_each_order_once(spark):
     schema = "order_id long, order_date timestamp, payment_status string, shipment_status string, actual_delivery_date timestamp"
     rows = [(n, D(n % 40), "completed" if n % 2 else "pending", "delivered" if n % 3 == 0 else None, D(50) if n % 7 == 0 else None) for n in [*range(-50, 400), 10**12, 32768, 32767]]

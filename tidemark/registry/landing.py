@@ -587,3 +587,13 @@ def _(lake):
     versions = lake.bronze("orders").select("order_id", "order_status", version.alias("version"))
     _run(lake, _deliveries(lake, versions, 3, "deliveries"), streams.latest_to(path, ["order_id"], "version", ["order_status"]))
     return lake.spark.read.parquet(path).select("order_id", "order_status")
+
+
+@query("str3_stream_versioned_merge", """SELECT order_id, order_status FROM bronze_orders
+QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY _ingestion_ts DESC, _record_hash DESC) = 1""")
+def _(lake):
+    path = scratch_path(lake.spark, "stream-orders")
+    version = F.concat_ws(" ", F.date_format("_ingestion_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "_record_hash")
+    versions = lake.bronze("orders").select("order_id", "order_status", version.alias("version"))
+    _run(lake, _deliveries(lake, versions, 3, "deliveries"), streams.merged_to(path, ["order_id"], "version", ["order_status"]))
+    return versioned.read(lake.spark, path).select("order_id", "order_status")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.dedupe import first_per_key
 from tidemark.session import staged
+from tidemark.sinks import versioned
 from tidemark.sinks.incremental import read_target, upsert
 
 LATE_ARRIVAL = "7 days"  # fixed value: how long a day stays open
@@ -111,3 +112,14 @@ def latest_to(path: str, keys: Sequence[str], version: str, partition_by: Sequen
         newest = first_per_key(batch, list(keys), [F.col(version).desc_nulls_last()])
         upsert(newest, path, list(keys), list(partition_by), version=version)
     return write
+
+
+def merged_to(path: str, keys: Sequence[str], version: str, partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """:func:`latest_to` into a versioned table: a batch shows as a whole or not at all, and reads only pieces that may hold its keys.
+
+    A repeated batch finds its own versions and writes the same rows again.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        newest = first_per_key(batch, list(keys), [F.col(version).desc_nulls_last()])
+        versioned.merge(newest, path, list(keys), list(partition_by), version=version)
+    return write
