@@ -89,6 +89,32 @@ def test_nulls_empty_short_and_repeated(spark):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_with_different_texts(spark):
+    """Every row has the class of its own text, whichever of the texts comes first."""
+    rows = []
+    for k in range(20):
+        one, two = [f"a{k}_{i}" for i in range(120)], [f"b{k}_{i}" for i in range(120)]
+        rows += [(k, " ".join(one)), (k, " ".join(two)), (100 + k, " ".join(one + ["end"])), (200 + k, " ".join(two + ["end"]))]
+    apart = brute(list(enumerate(t for _, t in rows)))
+    lowest = {}
+    for row, (_, c) in apart.items():
+        lowest[c] = min(lowest.get(c, rows[row][0]), rows[row][0])
+    want = sorted((rows[row][0], n, lowest[c]) for row, (n, c) in apart.items())
+    docs = spark.createDataFrame([(i, t, None, "l", 1) for i, t in rows], SCHEMA)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs).collect())
+    assert got == want and (105, 117, 5) in got and (205, 117, 5) in got
+
+
+def test_large_buckets_in_parts(spark, monkeypatch):
+    """Edited copies that share a long middle: many in one bucket, linked only in part, compared in parts of two."""
+    monkeypatch.setattr(neardup, "BUCKET_PART", 2)
+    middle = [f"m{i}" for i in range(100)]
+    rows = [(k, " ".join([f"h{k // 4}_{i}" for i in range(9 + k % 4)] + middle + [f"t{k % 5}_{i}" for i in range(6)])) for k in range(120)]
+    docs = spark.createDataFrame([(i, t, None, "l", 1) for i, t in rows], SCHEMA)
+    want = brute(rows)
+    assert ours(docs) == want and 1 < len({c for _, c in want.values()}) < 120
+
+
 def test_sketch_fills_every_coordinate():
     import numpy as np
     rng = np.random.default_rng(3)

@@ -7,11 +7,13 @@ component of links.
 How the work is laid out:
 
 1. One pass over the texts yields per document the set size, a 128-bit digest of the set and the band keys. No text is
-   shuffled. Documents with equal sets collapse to their smallest id before anything else, counted map-side.
+   shuffled. Documents with equal sets collapse to one vertex before anything else, counted map-side; vertices are numbered, so that rows
+   which share an id but not a text stay apart.
 2. Representatives meet per (band, key). A bucket never emits all its pairs: its members are compared with two
    leaders, the one with the fewest shingles that no other candidate has, which is the hub of a group of edited copies,
-   and the smallest id. What then still lies in different components of one bucket is compared exactly, the members
-   outside the bucket's largest component against the rest, so no link that could join components is lost. Shingles
+   and the smallest vertex. What then still lies in different components of one bucket is compared exactly, the members
+   outside the bucket's largest component against the rest, so no link that could join components is lost; large buckets
+   are dealt over several tasks. Shingles
    that occur in one candidate only cannot be common, which rules out documents and pairs beforehand, exactly.
 3. Every comparison is made on the whole sets. These are computed only for documents that meet in a bucket; a bitmap of
    fixed size, broadcast, keeps the others out of the shuffle.
@@ -22,8 +24,8 @@ rounds t..2t-1 offer every element to one fixed bin each. The sketch is complete
 usually after one or two rounds, and always after 2t. Bands of ``rows`` coordinates: a pair of similarity 0.85 is
 missed with probability (1 - 0.85**5)**24, below 1e-6, and more similar pairs far less often.
 
-Defined cases: null and empty texts have an empty set, size 0, no links, and are their own class. Repeated doc_ids are
-handled as rows of one id: the class is that of any of its texts. Null doc_ids are kept and form no class (component_id
+Defined cases: null and empty texts have an empty set, size 0, no links, and are their own class. Rows that share a
+doc_id are judged by their own texts: each has the class of its text, named by the smallest id in it. Null doc_ids are kept and form no class (component_id
 null). Extra columns are ignored. Empty input gives an empty result.
 """
 
@@ -44,6 +46,7 @@ WIDTH = 5
 PERCENT = 85
 BANDS = 24
 ROWS = 5
+BUCKET_PART = 256  # members of a bucket that one row is compared with in one place
 CELL_BITS = 7  # shingles are counted in 2**7 cells by their upper bits; the smaller counts bound what is common
 BITMAP_BITS = 23  # the bitmap of candidate ids has 2**23 bits, 1 MB
 
@@ -87,6 +90,11 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def digest_of(elements: np.ndarray) -> bytes:
+    """128 bits that tell sets apart."""
+    return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
+
+
 def _sketches(bands: int, rows: int, width: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("keys", pa.list_(pa.int64()))])
 
@@ -95,7 +103,7 @@ def _sketches(bands: int, rows: int, width: int):
             sizes, digests, keys = [], [], []
             for _, own in shingle_sets(batch, width):
                 sizes.append(len(own))
-                digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
+                digests.append(digest_of(own) if len(own) else None)
                 keys.append(band_keys(similarity_sketch(own, bands * rows), bands, rows) if len(own) else None)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                                               pa.array(keys, pa.list_(pa.int64()))], schema=schema)
@@ -122,11 +130,14 @@ def candidate_bitmap(ids: DataFrame) -> np.ndarray:
     return bitmap
 
 
-def candidate_sets(docs: DataFrame, ids: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, whole shingle set (sorted 64-bit hashes as bytes) and counts by cell of the documents in ``ids``."""
+def candidate_sets(docs: DataFrame, candidates: DataFrame, width: int = WIDTH) -> DataFrame:
+    """vertex, whole shingle set (sorted 64-bit hashes as bytes) and counts by cell of ``candidates`` (vertex, doc_id, digest).
+
+    The id only rules texts out before they are cut up; a set belongs to the vertex that has its digest.
+    """
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(candidate_bitmap(ids))
-    schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary()), ("cells", pa.list_(pa.int32()))])
+    held = spark.sparkContext.broadcast(candidate_bitmap(candidates))
+    schema = pa.schema([("digest", pa.binary()), ("shingles", pa.binary()), ("cells", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,13 +147,13 @@ def candidate_sets(docs: DataFrame, ids: DataFrame, width: int = WIDTH) -> DataF
             if batch.num_rows:
                 sets = [own for _, own in shingle_sets(batch, width)]
                 cells = [np.bincount((x >> _U(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS).astype(np.int32) for x in sets]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.tobytes() for x in sets], pa.binary()),
+                yield pa.RecordBatch.from_arrays([pa.array([digest_of(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary()),
                                                   pa.array(cells, pa.list_(pa.int32()))], schema=schema)
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
-        "doc_id is not null").withColumn("slot", _slot(F.col("doc_id"))).mapInArrow(run, "doc_id long, shingles binary, cells array<int>")
-    one = found.join(ids.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max(F.struct("shingles", "cells")).alias("set"))
-    return one.select("doc_id", "set.*")
+        "doc_id is not null").withColumn("slot", _slot(F.col("doc_id"))).mapInArrow(run, "digest binary, shingles binary, cells array<int>")
+    one = found.join(candidates.select("digest", "vertex"), "digest").groupBy("vertex").agg(F.max(F.struct("shingles", "cells")).alias("set"))
+    return one.select("vertex", "set.*")
 
 
 def _verify(percent: int):
@@ -163,17 +174,17 @@ def _verify(percent: int):
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right"))
+    left = sets.select(F.col("vertex").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("vertex").alias("b"), F.col("shingles").alias("right"))
     small, large = F.least(F.octet_length("left"), F.octet_length("right")), F.greatest(F.octet_length("left"), F.octet_length("right"))
     both = pairs.join(left, "a").join(right, "b").where(small * 100 >= large * percent)  # sizes alone rule out the rest
     return both.select("a", "b", "left", "right").mapInArrow(_verify(percent), "a long, b long")
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """doc_id and label, the smallest id reachable, of every end of ``edges`` (a, b).
+    """vertex and label, the smallest vertex reachable, of every end of ``edges`` (a, b).
 
-    Each round joins every vertex to its first neighbour or itself, and contracts. Neighbours are ordered by id in even
+    Each round joins every vertex to its first neighbour or itself, and contracts. Neighbours are ordered by number in even
     rounds, so that stars end at once, and by a hash in odd ones, so that a chain halves whatever its order.
     """
     edges = edges.select("a", "b")
@@ -189,13 +200,13 @@ def connected(edges: DataFrame) -> DataFrame:
         edges = stage(moved.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct(), "links")
         if not edges.limit(1).count():
             break
-    root = steps[0].toDF("doc_id", "root")
+    root = steps[0].toDF("vertex", "root")
     for step in steps[1:]:
-        root = root.join(step.toDF("root", "to"), "root", "left").select("doc_id", F.coalesce("to", "root").alias("root"))
-    if len(steps) == 1:  # joined by id only: roots are smallest ids
-        return root.toDF("doc_id", "label")
+        root = root.join(step.toDF("root", "to"), "root", "left").select("vertex", F.coalesce("to", "root").alias("root"))
+    if len(steps) == 1:  # joined by number only: roots are smallest vertices
+        return root.toDF("vertex", "label")
     root = stage(root, "roots")
-    return root.join(root.groupBy("root").agg(F.min("doc_id").alias("label")), "root").select("doc_id", "label")
+    return root.join(root.groupBy("root").agg(F.min("vertex").alias("label")), "root").select("vertex", "label")
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,15 +214,15 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in range(0, batch.num_rows, 256):
             some = batch.slice(part, 256)
             sets = [np.frombuffer(x.as_buffer(), np.int64) for x in some.column("shingles")]
-            ids = np.repeat(some.column("doc_id").to_numpy(), [len(x) for x in sets])
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets))], names=["doc_id", "shingle"])
+            ids = np.repeat(some.column("vertex").to_numpy(), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets))], names=["vertex", "shingle"])
 
 
 def own_shingles(sets: DataFrame) -> DataFrame:
-    """doc_id, n (shingles) and own, how many of them no other candidate has."""
-    each = sets.mapInArrow(_spread, "doc_id long, shingle long")
-    alone = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).where("n = 1").groupBy("doc_id").agg(F.count("*").alias("own"))
-    return sets.select("doc_id", (F.octet_length("shingles") / 8).cast("long").alias("n")).join(alone, "doc_id", "left").fillna(0, ["own"])
+    """vertex, n (shingles) and own, how many of them no other candidate has."""
+    each = sets.mapInArrow(_spread, "vertex long, shingle long")
+    alone = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("vertex").alias("vertex")).where("n = 1").groupBy("vertex").agg(F.count("*").alias("own"))
+    return sets.select("vertex", (F.octet_length("shingles") / 8).cast("long").alias("n")).join(alone, "vertex", "left").fillna(0, ["own"])
 
 
 def _may_link(n: Column, own: Column, n2: Column, own2: Column, percent: int) -> Column:
@@ -221,49 +232,52 @@ def _may_link(n: Column, own: Column, n2: Column, own2: Column, percent: int) ->
 
 
 def components(reps: DataFrame, docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """doc_id and label of the documents in ``reps`` (doc_id, keys) that have a link."""
-    entries = reps.select("doc_id", F.posexplode("keys").alias("band", "key"))
+    """vertex and label of the texts in ``reps`` (vertex, doc_id, digest, keys) that have a link."""
+    entries = reps.select("vertex", F.posexplode("keys").alias("band", "key"))
     buckets = entries.groupBy("band", "key").agg(F.count("*").alias("members")).where("members > 1").select("band", "key")
     members = stage(entries.join(buckets, ["band", "key"]), "members")
-    sets = stage(candidate_sets(docs, stage(members.select("doc_id").distinct(), "candidates"), width), "sets")
+    met = reps.select("vertex", "doc_id", "digest").join(members.select("vertex").distinct(), "vertex", "left_semi")
+    sets = stage(candidate_sets(docs, stage(met, "candidates"), width), "sets")
     alive = own_shingles(sets).where(F.col("own") * 100 <= F.col("n") * (100 - percent))  # else too much of its own for any link
-    members = stage(members.join(alive, "doc_id"), "members")
-    member = F.struct("doc_id", "n", "own")
+    members = stage(members.join(alive, "vertex"), "members")
+    member = F.struct("vertex", "n", "own")
     leaders = members.groupBy("band", "key").agg(F.array(
-        F.min_by(member, F.struct("own", "doc_id")), F.min_by(member, F.struct(F.col("own") + F.col("n"), F.col("doc_id"))),
-        F.min_by(member, F.struct(F.xxhash64("doc_id"), F.col("doc_id"))), F.min_by(member, "doc_id")).alias("leaders"))
-    pairs = members.join(leaders, ["band", "key"]).select("doc_id", "n", "own", F.explode("leaders").alias("to")).where(
-        (F.col("doc_id") != F.col("to.doc_id")) & _may_link(F.col("n"), F.col("own"), F.col("to.n"), F.col("to.own"), percent))
-    edges = stage(verified(_ordered(F.col("doc_id"), F.col("to.doc_id"), pairs), sets, percent), "edges")
+        F.min_by(member, F.struct("own", "vertex")), F.min_by(member, F.struct(F.col("own") + F.col("n"), F.col("vertex"))),
+        F.min_by(member, F.struct(F.xxhash64("vertex"), F.col("vertex"))), F.min_by(member, "vertex")).alias("leaders"))
+    pairs = members.join(leaders, ["band", "key"]).select("vertex", "n", "own", F.explode("leaders").alias("to")).where(
+        (F.col("vertex") != F.col("to.vertex")) & _may_link(F.col("n"), F.col("own"), F.col("to.n"), F.col("to.own"), percent))
+    edges = stage(verified(_ordered(F.col("vertex"), F.col("to.vertex"), pairs), sets, percent), "edges")
     labels = stage(connected(edges), "labels")
-    return _settled(members, reps.select("doc_id", "keys"), labels, sets, percent)
+    return _settled(members, reps.select("vertex", "keys"), labels, sets, percent)
 
 
 def _settled(members: DataFrame, keys: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``labels`` after comparing whatever shares a bucket but no label and is not ruled out by the counts of its cells."""
-    here = members.join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-    bounds = here.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least")).where("low < high")
-    inside = stage(here.join(bounds.select("band", "key", "least"), ["band", "key"]), "open")
+    here = members.join(labels, "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
+    bounds = here.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least"),
+                                               F.ceil(F.count("*") / BUCKET_PART).cast("int").alias("parts")).where("low < high")
+    inside = stage(here.join(bounds.select("band", "key", "least", "parts"), ["band", "key"]).withColumn(
+        "part", F.pmod(F.xxhash64("vertex"), F.col("parts")).cast("int")), "open")
     sizes = inside.groupBy("band", "key", "label").agg(F.count("*").alias("members"))
     largest = sizes.groupBy("band", "key").agg(F.max_by("label", F.struct("members", "label")).alias("largest"))
-    inside = inside.join(largest, ["band", "key"]).join(keys, "doc_id").join(sets.select("doc_id", "cells"), "doc_id")
+    inside = inside.join(largest, ["band", "key"]).join(keys, "vertex").join(sets.select("vertex", "cells"), "vertex")
     # the best partner a set can have lacks just the shingles of its own, or is the smallest in the bucket
     best = F.greatest(F.col("least"), F.col("n") - F.col("own"))
     outside = inside.where((F.col("label") != F.col("largest")) & _may_link(F.col("n"), F.col("own"), best, F.lit(0), percent)).select(
-        "band", "key", *[F.col(c).alias(f"x_{c}") for c in ("doc_id", "label", "n", "own", "keys", "cells")])
+        "band", "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *[F.col(c).alias(f"x_{c}") for c in ("vertex", "label", "n", "own", "keys", "cells")])
     common = F.aggregate(F.zip_with("x_cells", "cells", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)  # no more can be common
     first_band = F.array_position(F.zip_with("x_keys", "keys", lambda x, y: x == y), True) - 1  # a pair meets in several, but counts in one
-    pairs = outside.join(inside, ["band", "key"]).where(
-        (F.col("x_label") != F.col("label")) & ((F.col("label") == F.col("largest")) | (F.col("x_doc_id") < F.col("doc_id")))
+    pairs = outside.join(inside, ["band", "key", "part"]).where(  # a large bucket is met part by part
+        (F.col("x_label") != F.col("label")) & ((F.col("label") == F.col("largest")) | (F.col("x_vertex") < F.col("vertex")))
         & _may_link(F.col("x_n"), F.col("x_own"), F.col("n"), F.col("own"), percent)
         & (common * 100 >= (F.col("x_n") + F.col("n") - common) * percent) & (first_band == F.col("band")))
-    more = stage(verified(_ordered(F.col("x_doc_id"), F.col("doc_id"), pairs), sets, percent), "edges")
+    more = stage(verified(_ordered(F.col("x_vertex"), F.col("vertex"), pairs), sets, percent), "edges")
     if not more.limit(1).count():
         return labels
-    found = stage(members.select("doc_id").distinct().join(labels, "doc_id", "left").select("doc_id", F.coalesce("label", "doc_id").alias("label")), "labels")
+    found = stage(members.select("vertex").distinct().join(labels, "vertex", "left").select("vertex", F.coalesce("label", "vertex").alias("label")), "labels")
     a, b = found.toDF("a", "la"), found.toDF("b", "lb")
     joined = connected(stage(more.join(a, "a").join(b, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "links"))
-    return stage(found.join(joined.toDF("label", "lower"), "label", "left").select("doc_id", F.coalesce("lower", "label").alias("label")), "labels")
+    return stage(found.join(joined.toDF("label", "lower"), "label", "left").select("vertex", F.coalesce("lower", "label").alias("label")), "labels")
 
 
 def _ordered(x: Column, y: Column, pairs: DataFrame) -> DataFrame:
@@ -275,10 +289,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     every = stage(sketched(docs, bands, rows, width), "sketches")
     classes = every.where("doc_id is not null and digest is not null").groupBy("digest").agg(
         F.min_by(F.struct("doc_id", "n_shingles", "keys"), "doc_id").alias("rep"))
-    classes = stage(classes.select("digest", "rep.*"), "classes")
-    labels = components(classes.dropDuplicates(["doc_id"]), docs, percent, width)
-    known = classes.select("digest", F.col("doc_id").alias("rep")).join(
-        labels.select(F.col("doc_id").alias("rep"), "label"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("label"))
+    classes = stage(classes.select(F.monotonically_increasing_id().alias("vertex"), "digest", "rep.*"), "classes")  # numbered once, by writing
+    labels = components(classes, docs, percent, width)
+    linked = classes.select("vertex", "digest", "doc_id").join(labels, "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
+    lowest = linked.groupBy("label").agg(F.min("doc_id").alias("component"))
+    known = linked.join(lowest, "label").select("digest", "component")
     out = every.join(known, "digest", "left")
-    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("label", "doc_id"))
+    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
