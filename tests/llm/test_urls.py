@@ -39,6 +39,16 @@ def test_rules_that_read_alike_stay_apart(spark, max_bytes):
     assert got == [(k, *brute(u, rules)) for k, u in enumerate(texts)] and got[0][4] == "allow"
 
 
+def test_many_ranges(spark, monkeypatch):
+    """A list cut into many ranges gives what the shipped array gives; a hot host and repeated urls included."""
+    monkeypatch.setattr(urls, "RANGE_BYTES", 64)
+    rules = [(f"s{k}.com", "/a/" * (k % 3), "block" if k % 2 else "allow") for k in range(60)] + [("com", "/a", "block")]
+    texts = [f"http://x.s{k % 80}.com/{'a/' * (k % 4)}{k}" for k in range(400)] + ["http://hot.com/a/b"] * 300
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, url string")
+    got = sorted(tuple(r) for r in urls.judge(pages, spark.createDataFrame(rules, urls.RULE_COLUMNS), max_bytes=0).collect())
+    assert got == [(k, *brute(u, rules)) for k, u in enumerate(texts)]
+
+
 def test_equal_digests_are_told_apart(tmp_path):
     import numpy as np
     import pyarrow as pa

@@ -11,7 +11,9 @@ with every path length that occurs among the rules, and hash them; per batch one
 candidates. A digest that is found counts only if the stored full string is equal, and equal digests of different
 strings lie side by side and are all compared.
 
-The files are bounded: a rule list beyond ``max_bytes`` is not shipped but joined on the digest, string confirmed.
+The files are bounded: a rule list beyond ``max_bytes`` is not shipped but cut into ranges of digests, each small enough for
+one task. The distinct candidates go to the range of their digest, where the task holds that range's sorted array and
+probes it by the same binary search, batch by batch; what is found goes back to the urls by a join.
 
 Defined cases: a null url and one without ``://`` have an empty host and path, no rule and the default verdict. Rules
 with a null or empty host never fit; a null path counts as empty; equal rules count once, block before allow.
@@ -30,11 +32,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
+
 MAX_BYTES = 256 << 20
+RANGE_BYTES = 16 << 20  # of rules that one task holds where the list is cut into ranges
 RULE_COLUMNS = "host string, path string, verdict string"
 
 
@@ -103,15 +109,11 @@ def write_array(rules: DataFrame, folder: str) -> None:
             hosts.write(np.int32(r.host_length).tobytes())
 
 
-class DigestArray:
-    """The mapped files of ``write_array``."""
+class RuleArray:
+    """Sorted digests with the strings they come from; ``ends`` says where each string ends."""
 
-    def __init__(self, folder: str):
-        def mapped(name: str, kind: type) -> np.ndarray:
-            path = f"{folder}/{name}"
-            return np.memmap(path, kind, "r") if os.path.getsize(path) else np.zeros(0, kind)
-        self.digests, self.ends, self.strings = mapped("digests", np.int64), mapped("ends", np.int64), mapped("strings", np.uint8)
-        self.blocks, self.hosts = mapped("blocks", np.uint8), mapped("hosts", np.int32)
+    def __init__(self, digests: np.ndarray, ends: np.ndarray, strings: np.ndarray):
+        self.digests, self.ends, self.strings = digests, ends, strings
 
     def key(self, i: int) -> str:
         return self.strings[self.ends[i - 1] if i else 0:self.ends[i]].tobytes().decode()
@@ -129,6 +131,17 @@ class DigestArray:
         return found
 
 
+class DigestArray(RuleArray):
+    """The mapped files of ``write_array``."""
+
+    def __init__(self, folder: str):
+        def mapped(name: str, kind: type) -> np.ndarray:
+            path = f"{folder}/{name}"
+            return np.memmap(path, kind, "r") if os.path.getsize(path) else np.zeros(0, kind)
+        super().__init__(mapped("digests", np.int64), mapped("ends", np.int64), mapped("strings", np.uint8))
+        self.blocks, self.hosts = mapped("blocks", np.uint8), mapped("hosts", np.int32)
+
+
 _OUT = "page_id long, host string, path string, rule string, verdict string"
 
 
@@ -162,7 +175,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", max_bytes:
     urls = parsed(pages).select(F.col("page_id").cast("long").alias("page_id"), "host", "path")
     probes = urls.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), lengths))
     if size > max_bytes:
-        return _joined(probes, rules, default)
+        return _judged_by_range(probes, rules, default, -(-size // RANGE_BYTES))
     archive = f"rules-{uuid.uuid4().hex}"
     folder = tempfile.mkdtemp(prefix="rules-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)  # the driver serves the archive for as long as it lives
@@ -172,11 +185,38 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", max_bytes:
     return probes.withColumn("digests", F.transform("keys", lambda k: F.xxhash64(k))).mapInArrow(_probe(archive, default), _OUT)
 
 
-def _joined(probes: DataFrame, rules: DataFrame, default: str) -> DataFrame:
-    """The same by an equi-join on the digest, for rule lists too large to ship."""
-    rows = probes.withColumn("row", F.monotonically_increasing_id())
-    each = rows.select("row", F.explode(F.array_distinct("keys")).alias("probe")).withColumn("digest", F.xxhash64("probe"))
-    best = each.join(rules, "digest").where("probe = key").groupBy("row").agg(
+_FOUND = "key string, host_length int, path_length int, verdict string"
+
+
+def _probe_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The candidates among rows sorted with rules (no probes) first and by digest, that are rules."""
+    rules: list[pa.RecordBatch] = []
+    array = held = None
+    for batch in batches:
+        first = batch.column("probe").to_numpy(zero_copy_only=False).searchsorted(True)
+        if first:
+            rules.append(batch.slice(0, first))
+        probes = batch.slice(first)
+        if not probes.num_rows or not rules:
+            continue
+        if array is None:
+            held = pa.Table.from_batches(rules).combine_chunks()
+            texts = held.column("key").cast(pa.large_binary()).combine_chunks()
+            ends = np.cumsum(pc.binary_length(texts).to_numpy())
+            array = RuleArray(held.column("digest").to_numpy(), ends, np.frombuffer(b"".join(texts.to_pylist()), np.uint8))
+        found = array.find(probes.column("digest").to_numpy(), probes.column("key"))
+        yield from held.take(pa.array(found[found >= 0])).select(["key", "host_length", "path_length", "verdict"]).to_batches()
+
+
+def _judged_by_range(probes: DataFrame, rules: DataFrame, default: str, ranges: int) -> DataFrame:
+    """The same for rule lists too large to ship: every distinct candidate is looked up in the range of its digest."""
+    rows = stage(probes.withColumn("row", F.monotonically_increasing_id()), "urls")  # numbered once, by writing
+    each = rows.select("row", F.explode(F.array_distinct("keys")).alias("key"))
+    asked = each.select("key").distinct().select(F.xxhash64("key").alias("digest"), "key", F.lit(True).alias("probe"))
+    stored = rules.select("digest", "key", F.lit(False).alias("probe"), "host_length", "path_length", "verdict")
+    placed = stored.unionByName(asked, allowMissingColumns=True).repartitionByRange(ranges, "digest").sortWithinPartitions("probe", "digest", "key")
+    found = placed.mapInArrow(_probe_range, _FOUND)
+    best = each.join(found, "key").groupBy("row").agg(
         F.max(F.struct((F.col("host_length") + F.col("path_length")).alias("n"), "host_length", "key", "verdict")).alias("best"))
     return rows.join(best, "row", "left").select("page_id", "host", "path", F.regexp_replace("best.key", "^[0-9]+:", "").alias("rule"),
                                                  F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
