@@ -231,11 +231,18 @@ def _may_link(n: Column, own: Column, n2: Column, own2: Column, percent: int) ->
     return common * 100 >= (n + n2 - common) * percent
 
 
+def _in_parts(buckets: DataFrame) -> DataFrame:
+    """One row for each part of a bucket, so that a join with its members is spread like them."""
+    return buckets.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+
 def components(reps: DataFrame, docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """vertex and label of the texts in ``reps`` (vertex, doc_id, digest, keys) that have a link."""
     entries = reps.select("vertex", F.posexplode("keys").alias("band", "key"))
-    buckets = entries.groupBy("band", "key").agg(F.count("*").alias("members")).where("members > 1").select("band", "key")
-    members = stage(entries.join(buckets, ["band", "key"]), "members")
+    buckets = entries.groupBy("band", "key").agg(F.count("*").alias("members")).where("members > 1").select(
+        "band", "key", F.ceil(F.col("members") / BUCKET_PART).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("vertex"), F.col("parts")).cast("int")
+    members = stage(entries.join(buckets, ["band", "key"]).withColumn("part", part), "members")
     met = reps.select("vertex", "doc_id", "digest").join(members.select("vertex").distinct(), "vertex", "left_semi")
     sets = stage(candidate_sets(docs, stage(met, "candidates"), width), "sets")
     alive = own_shingles(sets).where(F.col("own") * 100 <= F.col("n") * (100 - percent))  # else too much of its own for any link
@@ -243,8 +250,8 @@ def components(reps: DataFrame, docs: DataFrame, percent: int = PERCENT, width:
     member = F.struct("vertex", "n", "own")
     leaders = members.groupBy("band", "key").agg(F.array(
         F.min_by(member, F.struct("own", "vertex")), F.min_by(member, F.struct(F.col("own") + F.col("n"), F.col("vertex"))),
-        F.min_by(member, F.struct(F.xxhash64("vertex"), F.col("vertex"))), F.min_by(member, "vertex")).alias("leaders"))
-    pairs = members.join(leaders, ["band", "key"]).select("vertex", "n", "own", F.explode("leaders").alias("to")).where(
+        F.min_by(member, F.struct(F.xxhash64("vertex"), F.col("vertex"))), F.min_by(member, "vertex")).alias("leaders"), F.max("parts").alias("parts"))
+    pairs = members.drop("parts").join(_in_parts(leaders), ["band", "key", "part"]).select("vertex", "n", "own", F.explode("leaders").alias("to")).where(
         (F.col("vertex") != F.col("to.vertex")) & _may_link(F.col("n"), F.col("own"), F.col("to.n"), F.col("to.own"), percent))
     edges = stage(verified(_ordered(F.col("vertex"), F.col("to.vertex"), pairs), sets, percent), "edges")
     labels = stage(connected(edges), "labels")
@@ -255,12 +262,11 @@ def _settled(members: DataFrame, keys: DataFrame, labels: DataFrame, sets: DataF
     """``labels`` after comparing whatever shares a bucket but no label and is not ruled out by the counts of its cells."""
     here = members.join(labels, "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
     bounds = here.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least"),
-                                               F.ceil(F.count("*") / BUCKET_PART).cast("int").alias("parts")).where("low < high")
-    inside = stage(here.join(bounds.select("band", "key", "least", "parts"), ["band", "key"]).withColumn(
-        "part", F.pmod(F.xxhash64("vertex"), F.col("parts")).cast("int")), "open")
-    sizes = inside.groupBy("band", "key", "label").agg(F.count("*").alias("members"))
-    largest = sizes.groupBy("band", "key").agg(F.max_by("label", F.struct("members", "label")).alias("largest"))
-    inside = inside.join(largest, ["band", "key"]).join(keys, "vertex").join(sets.select("vertex", "cells"), "vertex")
+                                               F.max("parts").alias("parts")).where("low < high")
+    inside = stage(here.join(_in_parts(bounds.select("band", "key", "least", "parts")), ["band", "key", "part"]), "open")
+    sizes = inside.groupBy("band", "key", "label").agg(F.count("*").alias("members"), F.max("parts").alias("parts"))
+    largest = sizes.groupBy("band", "key").agg(F.max_by("label", F.struct("members", "label")).alias("largest"), F.max("parts").alias("parts"))
+    inside = inside.join(_in_parts(largest), ["band", "key", "part"]).join(keys, "vertex").join(sets.select("vertex", "cells"), "vertex")
     # the best partner a set can have lacks just the shingles of its own, or is the smallest in the bucket
     best = F.greatest(F.col("least"), F.col("n") - F.col("own"))
     outside = inside.where((F.col("label") != F.col("largest")) & _may_link(F.col("n"), F.col("own"), best, F.lit(0), percent)).select(
