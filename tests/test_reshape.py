@@ -157,3 +157,22 @@ def test_pages_cover_everything_once(spark):
     assert seen == pages
     info = paging.page_info(df, 5, 20).first()
     assert (info["total_count"], info["count"], info["has_more"], info["next_offset"]) == (23, 3, False, None)
+
+
+def test_texts_of_distinct_values_join_others_in_any_number_of_partitions(spark):
+    from tidemark.operators import aggregates
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {n: spark.conf.get(n, None) for n in names}
+    df = spark.createDataFrame([(1, 3), (1, 3), (1, None), (2, None), (None, 1), (1, 20)], "k long, v int")
+    try:
+        for n, value in names.items():
+            spark.conf.set(n, value)
+        df = df.join(spark.createDataFrame([(1,), (2,)], "k long"), "k")  # so the rows lie by the key already
+        distinct = aggregates.listagg(df, ["k"], "v", distinct=True, name="d")
+        both = aggregates.listagg(df, ["k"], "v", name="a").join(distinct, "k").join(aggregates.listagg(df, ["k"], "v", "", True, descending=True, name="last"), "k")
+        found = sorted(tuple(r) for r in both.collect())
+        assert sorted(map(str, distinct.collect())) == ["Row(k=1, d='3,20')", "Row(k=2, d=None)"]
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+    assert found == [(1, "3,3,20", "3,20", "203"), (2, None, None, None)]

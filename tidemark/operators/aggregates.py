@@ -38,8 +38,7 @@ def listagg(df: DataFrame, keys: Sequence[str], measure: str, delimiter: str = "
     if distinct and order_by not in (None, measure):
         raise ValueError("distinct values can only be ordered by themselves")
     if distinct:  # one row per value first: smaller groups, and any type may be ordered
-        df = df.where(F.col(quote_name(measure)).isNotNull()).select(*[quote_name(k) for k in keys], quote_name(measure)).distinct().unionByName(
-            df.select(*[quote_name(k) for k in keys]).distinct().withColumn(measure, F.lit(None).cast(df.schema[measure].dataType)))
+        df = df.select(*[quote_name(k) for k in keys], quote_name(measure)).distinct()  # NULL among them, so a group without any value stays
     direction = "DESC" if descending else "ASC"
     value, ordinal = quote_name(measure), quote_name(order_by or measure)
     text = f"CASE WHEN {value} IS NOT NULL THEN CAST({value} AS STRING) END"
