@@ -155,3 +155,22 @@ def test_no_staged_copies_stay(spark, scratch):
     for n in range(2):
         merge(spark, scratch, (n, "a", D[0]), (0, str(n), D[1]))
     assert {x.split("-")[0] for x in set(files.subfolders(spark, scratch_root(spark))) - before} == {"test"}
+
+
+def test_the_rows_of_a_first_version_are_written_once_and_are_its_changes(spark, scratch, monkeypatch):
+    labels = []
+
+    def told(df, label="stage", own=versioned.staged):
+        labels.append(label)
+        return own(df, label)
+    monkeypatch.setattr(versioned, "staged", told)
+    first = spark.createDataFrame([(1, "a"), (None, None)], "k long, v string")
+    versioned.merge(first, scratch, ["k"], properties=lambda new: {"rows": new.count()})
+    assert labels == [] and not versioned.files.exists(spark, f"{scratch}/_changes/_v=1")
+    assert versioned.current(spark, scratch).properties == {"rows": 2}
+    versioned.merge(spark.createDataFrame([(1, "b")], "k long, v string"), scratch, ["k"])
+    found = sorted(tuple(r) for r in versioned.changes(spark, scratch, 0).where("k = 1").collect())
+    assert found == [(1, "a", "after", 1), (1, "a", "before", 2), (1, "b", "after", 2)]
+    assert versioned.changes(spark, scratch, 0).count() == 4
+    versioned.vacuum(spark, scratch, keep=1)
+    assert versioned.changes(spark, scratch, 0) is None and versioned.read(spark, scratch).count() == 2
