@@ -97,3 +97,36 @@ def test_colocated_tables_meet_without_a_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert colocated.buckets_for(1) == 1 and colocated.buckets_for(3 * 128 << 20) == 4 and colocated.buckets_for(4 * 128 << 20) == 4
+
+
+@pytest.mark.parametrize("name", ["gld4_rfm_scores", "gld2_daily_distinct_orders", "gld2_monthly_distinct_orders"])
+def test_what_is_read_several_times_is_built_once(spark, name):
+    from tidemark.registry.catalog import QUERIES
+    assert not [f for f in QUERIES[name](spark, FOLDER).inputFiles() if f.startswith(f"file://{FOLDER}")]
+
+
+def test_scans_are_cut_small_unless_the_session_says_how(spark):
+    from tidemark import session
+    before = {n: spark.conf.get(n) for n in (session.SCAN, session.CLEANUP)}
+    try:
+        spark.conf.unset(session.SCAN)
+        session.spare_disk(spark)
+        assert spark.conf.get(session.SCAN) == session.SCAN_BYTES and spark.conf.get(session.CLEANUP) == "true"
+        spark.conf.set(session.SCAN, "64m")
+        session.spare_disk(spark)
+        assert spark.conf.get(session.SCAN) == "64m"
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+
+
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    from tidemark.registry import layers
+    from tidemark.sinks import colocated
+    from tidemark.sources.bronze import Lake
+    dealt = []
+    monkeypatch.setattr(colocated, "write_colocated", lambda df, name, key, buckets, path: dealt.append(buckets) or df)
+    layers.colocated_facts(Lake(spark, FOLDER))
+    monkeypatch.setattr(colocated, "buckets_for", lambda n, own=colocated.buckets_for: own(n, 1 << 16))
+    layers.colocated_facts(Lake(spark, FOLDER))
+    assert dealt[:3] == [8] * 3 and dealt[3] > 8 and len(set(dealt[3:])) == 1
