@@ -120,6 +120,20 @@ def test_scans_are_cut_small_unless_the_session_says_how(spark):
             spark.conf.set(n, value)
 
 
+def test_files_are_dense_unless_the_session_says_how(spark):
+    from tidemark import session
+    before = spark.conf.get(session.CODEC)
+    try:
+        spark.conf.unset(session.CODEC)
+        session.spare_disk(spark)
+        assert spark.conf.get(session.CODEC) == "zstd"
+        spark.conf.set(session.CODEC, "gzip")
+        session.spare_disk(spark)
+        assert spark.conf.get(session.CODEC) == "gzip"
+    finally:
+        spark.conf.set(session.CODEC, before)
+
+
 def test_buckets_follow_the_rows(spark, monkeypatch):
     from tidemark.registry import layers
     from tidemark.sinks import colocated
