@@ -96,6 +96,16 @@ def test_files_are_bounded(spark, scratch):
     assert per_file.agg(F.max("count")).first()[0] <= 100
 
 
+def test_files_are_bounded_without_gathering(spark, scratch, monkeypatch):
+    monkeypatch.setattr(incremental, "clustered", lambda *_: pytest.fail("rows were shuffled"))
+    rows = spark.range(1000, numPartitions=3).withColumn("p", F.col("id") % 2)
+    incremental.append_partitions(rows, scratch, ["p"], rows_per_file=100, gather=False)
+    per_file = spark.read.parquet(scratch).groupBy(F.input_file_name()).count()
+    assert per_file.agg(F.max("count"), F.sum("count")).first()[:] == (100, 1000)
+    from tidemark.registry.catalog import QUERIES
+    assert QUERIES["snk7_append_bounded_files"](spark, "/root/testdata/sf0.001").count() > 0
+
+
 def test_insert_by_period_monthly(spark, scratch):
     dates = ["2017-12-09", "2018-01-09", "2018-02-09", "2018-03-09", "2018-04-09", "2018-05-09", "2018-06-09", "2018-07-09"]
     df = spark.createDataFrame([(i + 1, dt.datetime.fromisoformat(d)) for i, d in enumerate(dates)], "id int, created_at timestamp")
