@@ -58,6 +58,21 @@ def test_envelopes(spark):
         extract.unwrap_envelope(bad, "reply", "payments", "id INT").collect()
 
 
+def test_usual_replies_are_parsed_once_and_odd_ones_read_the_same(spark, monkeypatch):
+    records = ['{"id": 1, "status": "ok"}', '{"id": "x", "status": "ok"}', '{"id": 2}', '{"id": 3, "status": 1.50}', '{"id": 4, "status": "1.50"}', '{"id": 5, "status": {"a": 1.0}}',
+               '{"id": 6.0, "status": "ok"}', '{"id": 7, "status": null}', "null"]
+    shapes = [s % r for r in records for s in ('{"payments": [%s]}', '{"payments": [{"id": 9, "status": "ok"}, %s]}', '{"payments": %s, "body": null}', '[{"payments": [%s]}]')]
+    shapes += ['{"payments": [%s], "body": "[]"}' % records[0], '  {"payments": [%s]} ' % records[0]]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(shapes)], "i int, reply string")
+
+    def got():
+        return extract.unwrap_envelope(df, "reply", "payments", "id INT, status STRING")
+    once = collect(got().selectExpr("i", "id", "coalesce(status, 'none') as status").na.fill(-1))
+    assert "StructField(body,StringType" in got()._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(extract, "_PLAIN", ())  # every reply the long way
+    assert once == collect(got().selectExpr("i", "id", "coalesce(status, 'none') as status").na.fill(-1))
+
+
 def test_date_partitions_are_pruned(spark, scratch):
     assert extract.read_date_partitions(spark, scratch, "2024-01-01", "2024-01-02") is None
     spark.range(10).withColumn("date", F.date_add(F.lit("2024-01-01").cast("date"), c("id").cast("int"))).write.partitionBy("date").parquet(scratch)
