@@ -106,6 +106,15 @@ def test_files_are_bounded_without_gathering(spark, scratch, monkeypatch):
     assert QUERIES["snk7_append_bounded_files"](spark, "/root/testdata/sf0.001").count() > 0
 
 
+def test_runs_land_their_batches_without_a_shuffle(spark, scratch, monkeypatch):
+    from tidemark.registry.landing import _land
+    from tidemark.sources.bronze import Lake
+    monkeypatch.setattr(incremental, "clustered", lambda *_: pytest.fail("rows were shuffled"))
+    lake = Lake(spark, "/root/testdata/sf0.001")
+    _land(lake, scratch, F.lit(True), "full", ("products",))
+    assert extract.read_landed(spark, scratch, "products").count() == lake.bronze("products").count()
+
+
 def test_insert_by_period_monthly(spark, scratch):
     dates = ["2017-12-09", "2018-01-09", "2018-02-09", "2018-03-09", "2018-04-09", "2018-05-09", "2018-06-09", "2018-07-09"]
     df = spark.createDataFrame([(i + 1, dt.datetime.fromisoformat(d)) for i, d in enumerate(dates)], "id int, created_at timestamp")
