@@ -83,6 +83,26 @@ def test_suite_groups_each_table_once(spark):
     assert text.count("Scan parquet") <= tables + 2 * relations
 
 
+def test_suite_writes_what_is_read_of_a_model(spark, monkeypatch):
+    from tidemark.registry import quality
+    written, stage = {}, quality.stage
+
+    def seen(df, label):
+        written[label] = df.columns
+        return stage(df, label)
+    monkeypatch.setattr(quality, "stage", seen)
+    assert QUERIES["dq21_declared_suite"](spark, FOLDER).count() == 33
+    assert written["stg_payments"] == ["payment_id", "order_id", "payment_status", "payment_date", "amount"]
+    assert not {"_record_hash", "created_at", "is_paid"} & {*written["stg_orders"], *written["order_facts"]}
+
+
+@pytest.mark.parametrize("name", ["stg3_stg_payments", "stg5_stg_shipments"])
+def test_texts_of_timestamps_are_not_shuffled(spark, name):
+    text = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    above = text[:text.index("Window ")]
+    assert "rlike" not in above.lower() and "gettimestamp" not in above.lower()
+
+
 def test_colocated_tables_meet_without_a_shuffle(spark):
     from tidemark.registry.layers import colocated_facts
     from tidemark.sinks import colocated

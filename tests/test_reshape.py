@@ -176,3 +176,23 @@ def test_texts_of_distinct_values_join_others_in_any_number_of_partitions(spark)
         for n, value in before.items():
             spark.conf.unset(n) if value is None else spark.conf.set(n, value)
     assert found == [(1, "3,3,20", "3,20", "203"), (2, None, None, None)]
+
+
+def test_packed_hashes_sort_like_their_texts_and_are_shorter(spark):
+    hexes = ["0" * 32, "f" * 32, "0" * 31 + "1", "09" + "f" * 30, "0a" + "0" * 30, "deadbeef" * 4]
+    ends = ["", " ", "/", "0", "9", ":", "A", "`", "a", "f", "g", "~", "\u00e9"]
+    texts = sorted({h[:n] + end for h in hexes for n in (0, 1, 2, 3, 31, 32) for end in ends}, key=str.encode)
+    df = spark.createDataFrame([(x,) for x in [*texts, None]], "h string")
+    rows = df.select("h", dedupe.packed_hash(c("h")).alias("p")).withColumn("u", dedupe.unpacked_hash(c("p"))).collect()
+    assert all(r.u == r.h for r in rows)
+    assert [r.h for r in sorted((r for r in rows if r.h is not None), key=lambda r: bytes(r.p))] == texts
+    assert {len(r.p) for r in rows if r.h in hexes} == {17}
+
+
+def test_latest_per_key_breaks_ties_by_any_hash_and_gives_it_back(spark):
+    df = spark.createDataFrame([(1, 5, "a" * 32), (1, 5, "a" * 31 + "g"), (2, 5, "b" * 32), (2, 5, None), (3, 4, "f" * 32), (3, 5, "x"), (None, 1, "")],
+                               "id int, _ingestion_ts int, _record_hash string")
+    out = dedupe.latest_per_key(df, ["id"])
+    assert out.columns == df.columns
+    assert {tuple(r) for r in out.collect()} == {(1, 5, "a" * 31 + "g"), (2, 5, "b" * 32), (3, 5, "x"), (None, 1, "")}
+    assert "packed" not in out.columns and "unhex(" in out._jdf.queryExecution().optimizedPlan().toString()
