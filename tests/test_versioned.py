@@ -174,3 +174,14 @@ def test_the_rows_of_a_first_version_are_written_once_and_are_its_changes(spark,
     assert versioned.changes(spark, scratch, 0).count() == 4
     versioned.vacuum(spark, scratch, keep=1)
     assert versioned.changes(spark, scratch, 0) is None and versioned.read(spark, scratch).count() == 2
+
+
+def test_a_list_of_changes_holds_the_columns_its_readers_need(spark, scratch):
+    merge(spark, scratch, (1, "a", D[0]), (2, "a", D[1]), listed=["v"])
+    merge(spark, scratch, (1, "b", D[3]), (3, "b", D[1]), listed=["v"])
+    assert spark.read.parquet(f"{scratch}/_changes/_v=2").columns == ["v", "_change"]
+    assert collect(versioned.changes(spark, scratch, 0)) == [("a", "after", 1), ("a", "after", 1), ("a", "before", 2), ("b", "after", 2), ("b", "after", 2)]
+    merge(spark, scratch, (3, "c", D[1]))
+    assert versioned.changes(spark, scratch, 1) is None  # the second version does not tell keys
+    assert collect(versioned.changes(spark, scratch, 2)) == [(3, "b", D[1], "before", 3), (3, "c", D[1], "after", 3)]
+    assert table(spark, scratch) == [(1, "b", D[3]), (2, "a", D[1]), (3, "c", D[1])]
