@@ -154,6 +154,25 @@ def test_files_are_dense_unless_the_session_says_how(spark):
         spark.conf.set(session.CODEC, before)
 
 
+def test_timestamps_are_written_as_numbers_unless_the_session_says_how(spark, scratch):
+    import pyarrow.parquet
+    from tidemark import session
+    before = spark.conf.get(session.STAMPS)
+    try:
+        spark.conf.unset(session.STAMPS)
+        session.spare_disk(spark)
+        spark.sql("select timestamp '0001-01-01 00:00:00.000001' as at union all select timestamp '9999-12-31 23:59:59.999999' union all select null").write.parquet(scratch)
+        at = sorted(spark.read.parquet(scratch).selectExpr("cast(at as string) as at").where("at is not null").collect())
+        assert [r["at"] for r in at] == ["0001-01-01 00:00:00.000001", "9999-12-31 23:59:59.999999"]
+        files = [f.removeprefix("file://") for f in spark.read.parquet(scratch).inputFiles()]
+        assert {pyarrow.parquet.ParquetFile(f).schema.column(0).physical_type for f in files} == {"INT64"}
+        spark.conf.set(session.STAMPS, "TIMESTAMP_MILLIS")
+        session.spare_disk(spark)
+        assert spark.conf.get(session.STAMPS) == "TIMESTAMP_MILLIS"
+    finally:
+        spark.conf.set(session.STAMPS, before)
+
+
 def test_buckets_follow_the_rows(spark, monkeypatch):
     from tidemark.registry import layers
     from tidemark.sinks import colocated
