@@ -185,3 +185,20 @@ def test_a_list_of_changes_holds_the_columns_its_readers_need(spark, scratch):
     assert versioned.changes(spark, scratch, 1) is None  # the second version does not tell keys
     assert collect(versioned.changes(spark, scratch, 2)) == [(3, "b", D[1], "before", 3), (3, "c", D[1], "after", 3)]
     assert table(spark, scratch) == [(1, "b", D[3]), (2, "a", D[1]), (3, "c", D[1])]
+
+
+def test_merged_rows_are_written_once(spark, scratch, monkeypatch):
+    labels = []
+
+    def told(df, label="stage", own=versioned.staged):
+        labels.append(label)
+        return own(df, label)
+    merge(spark, scratch, (1, "a", D[0]), (2, "a", D[0]), (3, "a", D[1]))
+    monkeypatch.setattr(versioned, "staged", told)
+    merge(spark, scratch, (1, "b", D[0]), (4, "b", None), properties=lambda new: {"rows": new.count()})
+    assert "merge-new" not in labels
+    assert table(spark, scratch) == sorted([(1, "b", D[0]), (2, "a", D[0]), (3, "a", D[1]), (4, "b", None)], key=repr)
+    assert versioned.current(spark, scratch).properties == {"rows": 2}  # of the new ones, not of those written again beside them
+    assert merge(spark, scratch).number == 2 and files.names(spark, f"{scratch}/_data") == ["_v=1", "_v=2"]  # nothing came, nothing stays
+    with pytest.raises(ValueError):
+        versioned.merge(rows(spark, (9, "c", D[0])), scratch, ["k", "v"], ["day"])
