@@ -104,3 +104,18 @@ def test_only_admitted_pieces_of_orders_are_read(spark, scratch, silver):
     one = silver["orders"].orderBy("order_id").limit(1).select("order_id")
     found = versioned.rows_of(spark, f"{scratch}/stg_orders", one)
     assert found.count() == 1 and len(found.inputFiles()) < len(versioned.read(spark, f"{scratch}/stg_orders").inputFiles())
+
+
+def test_parts_are_added_up_in_one_pass(spark):
+    parts = "customer_id long, level int, value string, first_use date, latest_use date, uses long, amount long"
+    day = [dt.date(2024, 1, n) for n in range(1, 9)]
+    old = spark.createDataFrame([(1, 3, None, day[2], day[3], 2, 5), (1, 1, "a", day[2], day[3], 2, None), (2, 3, None, day[1], day[2], 4, 8), (2, 1, "b", day[1], day[2], 4, 8),
+                                 (None, 3, None, day[1], day[1], 1, 1)], parts)
+    counted = spark.createDataFrame([(1, 3, None, day[1], day[1], 1, 2), (1, 2, "x", None, None, 1, None), (2, 3, None, day[4], day[5], 3, 6)], parts)
+    lost = spark.createDataFrame([(2,), (None,)], "customer_id long")
+    got = refresh._added_up(old, lost, counted)
+    assert got.dtypes == old.dtypes
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, 3, None, day[1], day[3], 3, 7), (1, 2, "x", None, None, 1, None), (2, 3, None, day[4], day[5], 3, 6),
+                                                                  (2, 1, "b", None, None, 0, None), (None, 3, None, None, None, 0, None)], key=repr)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
